@@ -10,13 +10,27 @@ DEFAULT_STATUS = "IN_USE"
 DEFAULT_BOOST = 1.0
 
 
+_FIELD = (
+    "struct<_name:string,_type:string,_indexed:string,_stored:string,_required:string,_multiValued:string,_VALUE:string>"
+)
+_ENTRY = "struct<_domain:string,status:string,boost:string,country:string>"
+
+
 def read_index_mapping(spark: SparkSession, path: str) -> DataFrame:
     """Index fields: name, type, indexed, stored, required, multi_valued; missing flags are false."""
-    schema = (
-        "_name string, _type string, _indexed string, _stored string, _required string, _multiValued string, _VALUE string"
-    )
-    rows = spark.read.format("xml").schema(schema).option("rowTag", "field").load(path)
+    return _index_fields(spark.read.format("xml").schema(_columns(_FIELD)).option("rowTag", "field").load(path))
+
+
+def parse_index_fields(texts: DataFrame, text: str = "value") -> DataFrame:
+    """Index fields from one ``<field>`` element per row."""
+    return _index_fields(texts.select(F.from_xml(text, _FIELD).alias("f")).select("f.*"))
+
 
+def _columns(struct: str) -> str:
+    return struct[len("struct<") : -1].replace(":", " ")
+
+
+def _index_fields(rows: DataFrame) -> DataFrame:
     def flag(name: str) -> Column:
         return F.coalesce(F.lower(name) == "true", F.lit(False))
 
@@ -40,8 +54,7 @@ def read_unique_key(spark: SparkSession, path: str) -> DataFrame:
 
 def read_suffixes(spark: SparkSession, path: str) -> DataFrame:
     """Domain suffixes: domain, status, boost, type, country from the four lists of the file."""
-    tld = "struct<_domain:string,status:string,boost:string,country:string>"
-    listed = f"struct<tld:array<{tld}>>"
+    listed = f"struct<tld:array<{_ENTRY}>>"
     schema = (
         f"tlds struct<itlds:{listed},gtlds:{listed},cctlds:{listed}>, "
         "suffixes struct<suffix:array<struct<_domain:string,status:string,boost:string>>>"
@@ -49,15 +62,7 @@ def read_suffixes(spark: SparkSession, path: str) -> DataFrame:
     doc = spark.read.format("xml").schema(schema).option("rowTag", "domains").load(path)
 
     def entries(items: str, kind: str | None) -> DataFrame:
-        one = doc.select(F.explode(items).alias("e"))
-        country = F.trim("e.country") if kind == "COUNTRY" else F.lit(None).cast("string")
-        return one.select(
-            F.col("e._domain").alias("domain"),
-            F.coalesce(F.trim("e.status"), F.lit(DEFAULT_STATUS)).alias("status"),
-            F.coalesce(F.trim("e.boost").try_cast("double"), F.lit(DEFAULT_BOOST)).alias("boost"),
-            F.lit(kind).cast("string").alias("type"),
-            country.alias("country"),
-        )
+        return _suffix_rows(doc.select(F.explode(items).alias("e")), kind)
 
     return (
         entries("tlds.itlds.tld", "INFRASTRUCTURE")
@@ -65,3 +70,19 @@ def read_suffixes(spark: SparkSession, path: str) -> DataFrame:
         .unionByName(entries("tlds.cctlds.tld", "COUNTRY"))
         .unionByName(entries("suffixes.suffix", None))
     )
+
+
+def parse_suffixes(texts: DataFrame, kind: str | None, text: str = "value") -> DataFrame:
+    """Suffixes of one list from one element per row."""
+    return _suffix_rows(texts.select(F.from_xml(text, _ENTRY).alias("e")), kind)
+
+
+def _suffix_rows(entries: DataFrame, kind: str | None) -> DataFrame:
+    country = F.trim("e.country") if kind == "COUNTRY" else F.lit(None).cast("string")
+    return entries.select(
+        F.col("e._domain").alias("domain"),
+        F.coalesce(F.trim("e.status"), F.lit(DEFAULT_STATUS)).alias("status"),
+        F.coalesce(F.trim("e.boost").try_cast("double"), F.lit(DEFAULT_BOOST)).alias("boost"),
+        F.lit(kind).cast("string").alias("type"),
+        country.alias("country"),
+    )
