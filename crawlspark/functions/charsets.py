@@ -85,7 +85,7 @@ _HTML5 = r"""(?i)<meta\s+charset\s*=\s*["']?([a-z][_\-0-9a-z]*)[^>]*>"""
 
 def canonical_charset(name: Column) -> Column:
     """Reported name of a supported charset, null for anything else."""
-    table = F.create_map(*[F.lit(x) for pair in SUPPORTED.items() for x in pair])
+    table = F.str_to_map(F.lit(";".join(f"{k}={v}" for k, v in SUPPORTED.items())), F.lit(";"), F.lit("="))
     return F.try_element_at(table, F.lower(name))
 
 

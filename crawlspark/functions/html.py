@@ -11,23 +11,45 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crawlspark.functions.let import let
+
 _ATTR = r"""([^\s=>"'/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _COMMENT = r"(?s)<!--.*?-->"
 _HIDDEN = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>"
 _TAG = r"(?s)<[!/?A-Za-z][^>]*>"
 
 
-def attr(attrs: Column, name: str) -> Column:
-    """Value of one attribute of a tag's attribute text; null when absent."""
-    names = F.regexp_extract_all(F.lower(attrs), F.lit(_ATTR), 1)
-    values = F.regexp_extract_all(attrs, F.lit(_ATTR), 2)
+def attr_names(attrs: Column) -> Column:
+    """Lower-cased attribute names of a tag, aligned with :func:`attr_values`."""
+    return F.regexp_extract_all(F.lower(attrs), F.lit(_ATTR), 1)
+
+
+def attr_values(attrs: Column) -> Column:
+    return F.regexp_extract_all(attrs, F.lit(_ATTR), 2)
+
+
+def attr_arrays(attrs: Column) -> Column:
+    return F.struct(attr_names(attrs).alias("names"), attr_values(attrs).alias("values"))
+
+
+def pick_attr(names: Column, values: Column, name: str) -> Column:
+    """Value of the first attribute with that name, references still encoded; null when absent."""
     raw = F.get(values, (F.array_position(names, name) - 1).cast("int"))
-    return decode_entities(F.regexp_replace(raw, r"""^["']|["']$""", ""))
+    return F.regexp_replace(raw, r"""^["']|["']$""", "")
+
+
+def attr(attrs: Column, name: str) -> Column:
+    """Decoded value of one attribute of a tag's attribute text; null when absent."""
+    return decode_entities(pick_attr(attr_names(attrs), attr_values(attrs), name))
+
+
+# one foldable literal: name=character pairs of the HTML 4 references
+_REFERENCES = ";".join(f"{name}={chr(cp)}" for name, cp in sorted(name2codepoint.items()))
 
 
 def decode_entities(text: Column) -> Column:
     """Decode named (HTML 4) and numeric character references in one pass, so nothing decodes twice."""
-    table = F.create_map(*[F.lit(x) for name, cp in sorted(name2codepoint.items()) for x in (name, chr(cp))])
+    table = F.str_to_map(F.lit(_REFERENCES), F.lit(";"), F.lit("="))
     ref = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
     def piece(p: Column, i: Column) -> Column:
@@ -41,8 +63,10 @@ def decode_entities(text: Column) -> Column:
             F.coalesce(F.concat(char, F.substr(p, F.length(name) + 2)), whole)
         )
 
-    decoded = F.array_join(F.transform(F.split(text, "&"), piece), "")
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    def decoded(t: Column) -> Column:
+        return F.when(t.contains("&"), F.array_join(F.transform(F.split(t, "&"), piece), "")).otherwise(t)
+
+    return let(text, decoded)
 
 
 def _code_point(code: Column) -> Column:
@@ -70,27 +94,39 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-def visible_text(html: Column) -> Column:
-    """Text nodes outside script, style and comments, each collapsed, joined by one blank."""
-    return collapse(decode_entities(F.regexp_replace(strip_hidden(html), _TAG, " ")))
+def bare_text(html: Column) -> Column:
+    """Markup without hidden blocks and tags, references still encoded."""
+    return F.regexp_replace(strip_hidden(html), _TAG, " ")
+
+
+def drop_tags(markup: Column) -> Column:
+    return F.regexp_replace(markup, _TAG, " ")
+
 
+def bare_title(head: Column) -> Column:
+    """Title markup of a head, ``''`` if there is none."""
+    return drop_tags(F.regexp_extract(head, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1))
 
-def title_of(html: Column) -> Column:
-    """Title text of the head, ``''`` if there is none."""
-    raw = F.regexp_extract(head_of(html), r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
-    return collapse(decode_entities(F.regexp_replace(raw, _TAG, " ")))
 
+def readable(bare: Column) -> Column:
+    """Bare text with references decoded and whitespace collapsed."""
+    return collapse(decode_entities(bare))
+
+
+def metas_of(head: Column) -> Column:
+    """The meta tags of a head in order, as structs of lower-cased names and the content."""
+    return F.transform(F.regexp_extract_all(head, F.lit(r"(?is)<meta\b([^>]*)>"), 1), _meta)
+
+
+def _meta(attrs: Column) -> Column:
+    def picked(a: Column) -> Column:
+        return F.struct(
+            F.lower(pick_attr(a["names"], a["values"], "name")).alias("name"),
+            F.lower(pick_attr(a["names"], a["values"], "http-equiv")).alias("equiv"),
+            decode_entities(pick_attr(a["names"], a["values"], "content")).alias("content"),
+        )
 
-def metas(html: Column) -> Column:
-    """The head's meta tags in order, as structs of lower-cased names and the content."""
-    return F.transform(
-        F.regexp_extract_all(head_of(html), F.lit(r"(?is)<meta\b([^>]*)>"), 1),
-        lambda a: F.struct(
-            F.lower(attr(a, "name")).alias("name"),
-            F.lower(attr(a, "http-equiv")).alias("equiv"),
-            attr(a, "content").alias("content"),
-        ),
-    )
+    return let(attr_arrays(attrs), picked)
 
 
 def article_html(html: Column) -> Column:

@@ -76,7 +76,7 @@ def resolve_type(declared: Column, url: Column, content: Column) -> Column:
     known = sorted(set(BY_EXTENSION.values()) | set(BY_TEXT_PREFIX.values()) | set(BY_HEX_PREFIX.values()))
     cleaned = F.lower(clean_type(declared))
     by_header = F.when(cleaned.isin([k for k in known if k != OCTET_STREAM]), cleaned)
-    table = F.create_map(*[F.lit(x) for pair in BY_EXTENSION.items() for x in pair])
+    table = F.str_to_map(F.lit(";".join(f"{k}={v}" for k, v in BY_EXTENSION.items())), F.lit(";"), F.lit("="))
     extension = F.lower(F.regexp_extract(url, r"^[^?#]*//[^/?#]*/[^?#]*[.]([A-Za-z0-9]+)(?:[?#].*)?$", 1))
     by_url = F.try_element_at(table, extension)
     return F.coalesce(by_content(content), by_header, by_url, F.lit(OCTET_STREAM))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crawlspark.functions.let import let
+
 # Schemes a url may start with.
 KNOWN_SCHEMES = "https?|ftp|file|jar|mailto"
 
@@ -16,6 +18,7 @@ _HOST = _SCHEME + "//" + _USERINFO + r"(\[[^\]/?#]*\]|[^:/?#]*)"
 _PORT = _SCHEME + "//" + _USERINFO + r"(?:\[[^\]/?#]*\]|[^:/?#]*):([0-9]+)"
 _BAD_PORT = _SCHEME + "//" + _USERINFO + r"(?:\[[^\]/?#]*\]|[^:/?#]*):[0-9]*[^0-9/?#]"
 _IPV4 = r"^([0-9]{1,3}[.]){3}[0-9]{1,3}$"
+_ABSOLUTE = r"^[A-Za-z][A-Za-z0-9.+-]*:"
 _BLANKS = "".join(chr(c) for c in range(33))
 
 
@@ -139,48 +142,56 @@ def resolve(base: Column, target: Column) -> Column:
     query keeps the last path segment of the base; dot segments go away on relative paths only.
     """
     scheme, origin, path = base["scheme"], base["origin"], base["path"]
-    trimmed = F.btrim(target, F.lit(_BLANKS))
-    own_scheme = F.lower(F.regexp_extract(trimmed, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
-    # "http:page" without slashes under an http base is a relative path
-    t = F.when(
-        (own_scheme == scheme) & ~trimmed.rlike(r"^[^:]+:/"), F.regexp_replace(trimmed, r"^[^:]*:", "")
-    ).otherwise(trimmed)
-    absolute = t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:")
-    rel_path = F.regexp_extract(t, r"^([^?#]*)", 1)
-    tail = F.regexp_extract(t, r"^[^?#]*([\s\S]*)$", 1)
     folder = F.regexp_extract(path, r"^(.*/)", 1)
-    joined = F.when(path == "", F.concat(F.lit("/"), rel_path)).otherwise(
-        drop_dot_segments(F.concat(folder, rel_path))
-    )
     query_only = F.when(path == "", F.lit("/")).otherwise(drop_dot_segments(path))
-    out = (
-        F.when(absolute & ~is_valid_url(t), F.lit(None).cast("string"))
-        .when(absolute, F.concat(F.lower(F.regexp_extract(t, r"^([^:]*)", 1)), F.regexp_extract(t, r"^[^:]*([\s\S]*)$", 1)))
-        .when(t == "", F.concat(origin, path, base["query"], base["ref"]))
-        .when(t.startswith("//"), F.concat(scheme, F.lit(":"), t))
-        .when(t.startswith("/"), F.concat(origin, t))
-        .when(t.startswith("?"), F.concat(origin, query_only, t))
-        .when(t.startswith("#"), F.concat(origin, path, base["query"], t))
-        .otherwise(F.concat(origin, joined, tail))
-    )
-    return F.when(base.isNotNull(), out)
+
+    def seen(t: Column) -> Column:
+        rel_path = F.regexp_extract(t, r"^([^?#]*)", 1)
+        tail = F.regexp_extract(t, r"^[^?#]*([\s\S]*)$", 1)
+        joined = F.when(path == "", F.concat(F.lit("/"), rel_path)).otherwise(
+            drop_dot_segments(F.concat(folder, rel_path))
+        )
+        lowered = F.concat(F.lower(F.regexp_extract(t, r"^([^:]*)", 1)), F.regexp_extract(t, r"^[^:]*([\s\S]*)$", 1))
+        return (
+            F.when(t == "", F.concat(origin, path, base["query"], base["ref"]))
+            .when(t.startswith("//"), F.concat(scheme, F.lit(":"), t))
+            .when(t.startswith("/"), F.concat(origin, t))
+            .when(t.startswith("?"), F.concat(origin, query_only, t))
+            .when(t.startswith("#"), F.concat(origin, path, base["query"], t))
+            .when(t.rlike(_ABSOLUTE), F.when(is_valid_url(t), lowered))
+            .otherwise(F.concat(origin, joined, tail))
+        )
+
+    def cleaned(t: Column) -> Column:
+        # "http:page" without slashes under an http base is a relative path
+        own = F.lower(F.regexp_extract(t, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+        return F.when((own == scheme) & ~t.rlike(r"^[^:]+:/"), F.regexp_replace(t, r"^[^:]*:", "")).otherwise(t)
+
+    trimmed = F.btrim(target, F.lit(_BLANKS))
+    return F.when(base.isNotNull(), let(let(trimmed, cleaned), seen))
 
 
 def drop_dot_segments(path: Column) -> Column:
     """Remove ``.`` and ``..`` segments of an absolute path; ``..`` above the root stays."""
-    segments = F.split(path, "/")
-    kept = F.aggregate(
-        F.filter(segments, lambda s: s != "."),
-        F.array().cast("array<string>"),
-        lambda acc, s: F.when(
-            (s == "..") & (F.size(acc) > 1) & (F.get(acc, F.size(acc) - 1) != ".."),
-            F.slice(acc, 1, F.size(acc) - 1),
-        ).otherwise(F.concat(acc, F.array(s))),
-    )
-    last = F.get(segments, F.size(segments) - 1)
-    open_end = (last == ".") | ((last == "..") & (F.get(kept, F.size(kept) - 1) != ".."))
-    clean = F.concat(F.array_join(kept, "/"), F.when(open_end, F.lit("/")).otherwise(""))
-    return F.when(path.rlike(r"/\.{1,2}(/|$)"), clean).otherwise(path)
+
+    def clean(segments: Column) -> Column:
+        kept = F.aggregate(
+            F.filter(segments, lambda s: s != "."),
+            F.array().cast("array<string>"),
+            lambda acc, s: F.when(
+                (s == "..") & (F.size(acc) > 1) & (F.get(acc, F.size(acc) - 1) != ".."),
+                F.slice(acc, 1, F.size(acc) - 1),
+            ).otherwise(F.concat(acc, F.array(s))),
+        )
+        last = F.get(segments, F.size(segments) - 1)
+
+        def ended(acc: Column) -> Column:
+            open_end = (last == ".") | ((last == "..") & (F.get(acc, F.size(acc) - 1) != ".."))
+            return F.concat(F.array_join(acc, "/"), F.when(open_end, F.lit("/")).otherwise(""))
+
+        return let(kept, ended)
+
+    return let(path, lambda p: F.when(p.rlike(r"/\.{1,2}(/|$)"), let(F.split(p, "/"), clean)).otherwise(p))
 
 
 # --- internationalized hosts ----------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.functions import options as O
+from crawlspark.functions.let import let
 from crawlspark.functions.urls import partition_of
 from crawlspark.operators.lookup import lookup_join
 from crawlspark.operators.ranking import ROWS_PER_BUCKET, rank_rows
@@ -16,26 +17,34 @@ BATCH_DOCS = 250
 
 def base_fields(pages: DataFrame, key: str = "key", url: str = "url", crawl_opts: str = "crawl_opts") -> DataFrame:
     """id, url and seed_url of each page at rank 0."""
-    named = F.array(
-        F.struct(F.lit("id").alias("field"), F.col(key).alias("value")),
-        F.struct(F.lit("url").alias("field"), F.col(url).alias("value")),
-        F.struct(
-            F.lit("seed_url").alias("field"),
-            F.when(F.col(crawl_opts).isNotNull(), O.seed_url(F.col(crawl_opts))).alias("value"),
-        ),
-    )
-    fields = pages.select(F.col(key).alias("id"), F.explode(named).alias("f"))
-    return fields.select("id", "f.field", F.lit(0).alias("rnk"), "f.value").where("value is not null")
+    return page_fields(pages, key, [base_entity(key, url, crawl_opts)])
 
 
-def entity_fields(pages: DataFrame, key: str, fields: dict[str, Column], rank: int) -> DataFrame:
-    """Named columns of a page as fields of one entity; missing values write nothing."""
-    named = F.array(*[F.struct(F.lit(n).alias("field"), c.cast("string").alias("value")) for n, c in fields.items()])
-    return (
-        pages.select(F.col(key).alias("id"), F.explode(named).alias("f"))
-        .select("id", "f.field", F.lit(rank).alias("rnk"), "f.value")
-        .where("value is not null")
-    )
+def base_entity(key: str = "key", url: str = "url", crawl_opts: str = "crawl_opts") -> dict[str, Column]:
+    seed_url = F.when(F.col(crawl_opts).isNotNull(), O.seed_url(F.col(crawl_opts)))
+    return {"id": F.col(key), "url": F.col(url), "seed_url": seed_url}
+
+
+def page_fields(
+    pages: DataFrame, key: str, entities: list[dict[str, Column]], limit: int | None = None
+) -> DataFrame:
+    """Fields of a page's entities, rank = place of the entity; the first writer of a name wins.
+
+    A page's entities are columns of one row, so they merge without a shuffle. Missing values and
+    values of entities after the first that reach ``limit`` characters write nothing.
+    """
+    writes = []
+    for rank, entity in enumerate(entities):
+        for name, column in entity.items():
+            value = column.cast("string")
+            if limit is not None and rank:
+                value = F.when(F.char_length(value) < limit, value)
+            writes.append(F.struct(F.lit(name).alias("field"), F.lit(rank).alias("rnk"), value.alias("value")))
+    kept = F.filter(F.array(*writes), lambda w: w["value"].isNotNull())
+    names = [name for entity in entities for name in entity]
+    if len(set(names)) < len(names):
+        kept = let(kept, lambda ws: F.filter(ws, lambda w, i: F.array_position(F.transform(ws, lambda x: x["field"]), w["field"]) == i + 1))
+    return pages.select(F.col(key).alias("id"), F.explode(kept).alias("w")).select("id", "w.*")
 
 
 def value_length(fields: DataFrame, limit: int = MAX_VALUE_LENGTH) -> DataFrame:
@@ -98,13 +107,12 @@ def single_or_multi(fields: DataFrame, mapping: DataFrame) -> DataFrame:
     """Single-valued fields keep their first value, multi-valued ones all; unmapped means single."""
     kinds = mapping.select(F.col("name").alias("field"), "multi_valued")
     typed = lookup_join(fields, kinds, ["field"]).withColumn("multi_valued", F.coalesce("multi_valued", F.lit(False)))
-    many = typed.where("multi_valued").select("id", "field", "rnk", "value")
-    one = (
-        typed.where("not multi_valued")
-        .groupBy("id", "field")
+    # a write is (id, field, rnk): each write of a multi-valued field is its own group
+    return (
+        typed.groupBy("id", "field", F.when(F.col("multi_valued"), F.col("rnk")).alias("_write"))
         .agg(F.min("rnk").alias("rnk"), F.min_by("value", "rnk").alias("value"))
+        .drop("_write")
     )
-    return many.unionByName(one)
 
 
 def iso_instant(ts: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from crawlspark.functions import html as H
 from crawlspark.functions import options as O
 from crawlspark.functions import urls as U
+from crawlspark.functions.let import let
 from crawlspark.operators.domains import HOST, with_group
 
 # Tag -> attribute that holds its target; form is off unless asked for.
@@ -33,46 +34,71 @@ _OPENING = r"(?is)<(a|area|form|frame|iframe|script|link|img)(?=[\s/>])([^>]*)>"
 _EDGE = r"(?i)(?=<(?:a|form)[\s/>]|</(?:a|form)\s*>)"
 
 
-def raw_links(pages: DataFrame, key: list[str], html: str = "html") -> DataFrame:
+def raw_links(pages: DataFrame, key: list[str], html: str = "html", base: str | None = None) -> DataFrame:
     """Every link tag with its position, text, and the attributes the follow rules need.
 
-    Text of a container link ends at its closing tag or at the next anchor.
+    Text of a container link ends at its closing tag or at the next anchor. With ``base`` (a column
+    of base parts) ``to_url`` is added. A page's links are built as one array and exploded last, so
+    filters on them are evaluated on plain values.
     """
     cleaned = F.regexp_replace(H.strip_comments(F.col(html)), _BLOCK, "$1$3")
-    pieces = F.split(cleaned, _EDGE)
-    cut = pages.select(*key, F.posexplode(F.transform(pieces, lambda p, i: _piece(p, F.get(pieces, i + 1)))).alias("_pos", "_p"))
-    tags = F.arrays_zip(
-        F.regexp_extract_all(F.col("_p.text"), F.lit(_OPENING), 1).alias("tag"),
-        F.regexp_extract_all(F.col("_p.text"), F.lit(_OPENING), 2).alias("attrs"),
+    cut = pages.select(*key, *([base] if base and base not in key else []), F.split(cleaned, _EDGE).alias("_pieces"))
+    linked = F.filter(
+        F.transform("_pieces", lambda p, i: F.struct(p.alias("text"), F.get("_pieces", i + 1).alias("next"))),
+        lambda p: p["text"].rlike(_OPENING),
     )
-    found = cut.select(*key, "_pos", "_p", F.posexplode(tags).alias("_in", "_t")).withColumn("tag", F.lower("_t.tag"))
+    links = F.flatten(F.transform(linked, lambda p: _links_of(p, F.col(base) if base else None)))
+    return cut.select(*key, F.posexplode(links).alias("tag_pos", "_l")).select(*key, "tag_pos", "_l.*")
+
+
+def _links_of(piece: Column, base: Column | None) -> Column:
+    text = piece["text"]
+    found = F.arrays_zip(
+        F.regexp_extract_all(text, F.lit(_OPENING), 1).alias("tag"),
+        F.regexp_extract_all(text, F.lit(_OPENING), 2).alias("attrs"),
+    )
+
+    def link(t: Column, i: Column) -> Column:
+        return let(
+            F.struct(F.lower(t["tag"]).alias("tag"), H.attr_arrays(t["attrs"]).alias("a"), (i == 0).alias("first")),
+            lambda v: _link(v, piece, base),
+        )
+
+    return F.transform(found, link)
+
+
+def _link(v: Column, piece: Column, base: Column | None) -> Column:
+    def attr(name: str) -> Column:
+        return H.pick_attr(v["a"]["names"], v["a"]["values"], name)
+
     target = F.lit(None).cast("string")
     for attribute in sorted(set(LINK_TARGETS.values())):
         owners = [t for t, a in LINK_TARGETS.items() if a == attribute]
-        target = F.when(F.col("tag").isin(owners), H.attr(F.col("_t.attrs"), attribute)).otherwise(target)
-    container = F.col("tag").isin("a", "form") & (F.col("_in") == 0)
-    return found.select(
-        *key,
-        # pieces before tags: a total order of the page's link tags
-        (F.col("_pos").cast("bigint") * 1_000_000 + F.col("_in")).alias("tag_pos"),
-        "tag",
-        target.alias("target"),
-        F.when(container, H.collapse(H.decode_entities(F.regexp_replace("_p.text", r"(?s)<[^>]*>", " "))))
-        .otherwise("")
-        .alias("anchor"),
-        H.attr(F.col("_t.attrs"), "rel").alias("rel"),
-        H.attr(F.col("_t.attrs"), "method").alias("method"),
-        (container & F.col("_p.empty")).alias("empty_container"),
-    )
+        target = F.when(v["tag"].isin(owners), attr(attribute)).otherwise(target)
+    container = v["tag"].isin("a", "form") & v["first"]
 
+    def built(goal: Column) -> Column:
+        fields = [
+            v["tag"].alias("tag"),
+            goal.alias("target"),
+            F.when(container, H.readable(H.drop_tags(piece["text"]))).otherwise("").alias("anchor"),
+            attr("rel").alias("rel"),
+            attr("method").alias("method"),
+            (container & _empty(piece)).alias("empty_container"),
+        ]
+        if base is not None:
+            fields.append(U.resolve(base, goal).alias("to_url"))
+        return F.struct(*fields)
 
-def _piece(text: Column, following: Column) -> Column:
-    """A piece of markup and whether its opening tag holds nothing, or only a nested tag of its name."""
-    name = F.lower(F.regexp_extract(text, r"^<([A-Za-z]+)", 1))
-    inner = F.regexp_replace(text, r"(?s)^<[^>]*>", "")
-    nested = F.lower(F.regexp_extract(following, r"^<([A-Za-z]+)", 1)) == name
-    empty = (inner == "") & following.startswith("</") | F.coalesce(nested, F.lit(False)) & inner.rlike(r"^\s*$")
-    return F.struct(text.alias("text"), F.coalesce(empty, F.lit(False)).alias("empty"))
+    return let(H.decode_entities(target), built)
+
+
+def _empty(piece: Column) -> Column:
+    """Whether an opening tag holds nothing, or only a nested tag of its own name."""
+    name = F.lower(F.regexp_extract(piece["text"], r"^<([A-Za-z]+)", 1))
+    nested = F.lower(F.regexp_extract(piece["next"], r"^<([A-Za-z]+)", 1)) == name
+    bare = piece["text"].rlike(r"(?s)^<[^>]*>$") & piece["next"].startswith("</")
+    return F.coalesce(bare | (nested & piece["text"].rlike(r"(?s)^<[^>]*>\s*$")), F.lit(False))
 
 
 def follow_rules(links: DataFrame, ignore_tags: tuple[str, ...] = ("form",)) -> DataFrame:
@@ -90,12 +116,8 @@ def follow_rules(links: DataFrame, ignore_tags: tuple[str, ...] = ("form",)) ->
 def extract_outlinks(pages: DataFrame, key: list[str], url: str = "url", html: str = "html", ignore_tags: tuple[str, ...] = ("form",)) -> DataFrame:
     """Followed links with resolved targets; targets that do not resolve are left out."""
     based = pages.withColumn("_base", U.base_parts(F.col(url)))
-    found = follow_rules(raw_links(based, [*key, "_base"], html), ignore_tags)
-    return (
-        found.withColumn("to_url", U.resolve(F.col("_base"), F.col("target")))
-        .where("to_url is not null")
-        .drop("_base", "empty_container")
-    )
+    found = follow_rules(raw_links(based, key, html, "_base"), ignore_tags)
+    return found.where("to_url is not null").drop("empty_container")
 
 
 def outlink_codes(
@@ -174,8 +196,8 @@ def mark_same_host(links: DataFrame, source: str, target: str, mode: str = HOST,
 def seed_anchors(pages: DataFrame, key: list[str], url: str = "url", html: str = "html", resolve: bool = True) -> DataFrame:
     """Anchors of seed pages as (href, to_url, anchor); ``resolve=False`` keeps the raw href as target."""
     seeds = pages.where("is_seed").withColumn("_base", U.base_parts(F.col(url)))
-    found = raw_links(seeds, [*key, "_base"], html).where((F.col("tag") == "a") & F.col("target").isNotNull())
-    to_url = U.resolve(F.col("_base"), F.col("target")) if resolve else F.col("target")
+    found = raw_links(seeds, key, html, "_base").where((F.col("tag") == "a") & F.col("target").isNotNull())
+    to_url = F.col("to_url") if resolve else F.col("target")
     return found.select(*key, "tag_pos", F.col("target").alias("href"), to_url.alias("to_url"), "anchor")
 
 

@@ -12,41 +12,61 @@ from crawlspark.functions import urls as U
 
 
 def page_text(pages: DataFrame, html: str = "html", name: str = "text") -> DataFrame:
-    return pages.withColumn(name, H.visible_text(F.col(html)))
+    """Add the visible text: text nodes outside script, style and comments, joined by one blank."""
+    bare = pages.withColumn("_bare", H.bare_text(F.col(html)))
+    return bare.withColumn(name, H.readable(F.col("_bare"))).drop("_bare")
+
+
+def with_head(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Add ``_head``, the part before the body, for the operators that only read it."""
+    return pages if "_head" in pages.columns else pages.withColumn("_head", H.head_of(F.col(html)))
 
 
 def page_title(pages: DataFrame, html: str = "html", name: str = "title") -> DataFrame:
-    return pages.withColumn(name, H.title_of(F.col(html)))
+    """Add the title of the head, ``''`` if there is none."""
+    bare = with_head(pages, html).withColumn("_bare", H.bare_title(F.col("_head")))
+    return _without(bare.withColumn(name, H.readable(F.col("_bare"))), pages, "_bare", "_head")
 
 
 def page_metadata(pages: DataFrame, html: str = "html") -> DataFrame:
     """Add meta_title, meta_keywords and meta_description; null when the head has none."""
-    with_metas = pages.withColumn("_m", H.metas(F.col(html)))
+    headed = with_head(pages, html)
+    found = headed.withColumns({"_m": H.metas_of(F.col("_head")), "_bare": H.bare_title(F.col("_head"))})
 
     def last(name: str) -> Column:
         hits = F.filter("_m", lambda m: (m["name"] == name) & m["content"].isNotNull())
         return F.get(hits, F.size(hits) - 1)["content"]
 
-    head_title = F.when(H.head_of(F.col(html)).rlike(r"(?i)<title[\s>]"), H.title_of(F.col(html)))
-    return with_metas.withColumns(
-        {"meta_title": head_title, "meta_keywords": last("keywords"), "meta_description": last("description")}
-    ).drop("_m")
+    titled = F.col("_head").rlike(r"(?i)<title[\s>]")
+    out = found.withColumns(
+        {
+            "meta_title": F.when(titled, H.readable(F.col("_bare"))),
+            "meta_keywords": last("keywords"),
+            "meta_description": last("description"),
+        }
+    )
+    return _without(out, pages, "_m", "_bare", "_head")
+
+
+def _without(out: DataFrame, before: DataFrame, *helpers: str) -> DataFrame:
+    return out.drop(*[h for h in helpers if h not in before.columns])
 
 
 def meta_tags(pages: DataFrame, key: list[str], html: str = "html") -> DataFrame:
     """General and http-equiv tags as rows (key, kind, name, content); the last of equal names wins."""
-    metas = pages.select(*key, F.posexplode(H.metas(F.col(html))).alias("_pos", "m")).where("m.content is not null")
+    found = with_head(pages, html).select(*key, F.posexplode(H.metas_of(F.col("_head"))).alias("_pos", "m"))
     kinds = F.array(
         F.struct(F.lit("name").alias("kind"), F.col("m.name").alias("name")),
         F.struct(F.lit("http-equiv").alias("kind"), F.col("m.equiv").alias("name")),
     )
-    rows = metas.select(*key, "_pos", "m.content", F.explode(kinds).alias("k")).where("k.name is not null")
-    return rows.groupBy(*key, "k.kind", "k.name").agg(F.max_by("content", "_pos").alias("content"))
+    rows = found.where("m.content is not null").select(*key, "_pos", "m.content", F.explode(kinds).alias("k"))
+    return rows.where("k.name is not null").groupBy(*key, "k.kind", "k.name").agg(F.max_by("content", "_pos").alias("content"))
 
 
 def robots_meta(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Add no_index, no_follow, no_cache, refresh_time and refresh_href from the head's meta tags."""
-    out = pages.withColumns({"_m": H.metas(F.col(html)), "_base": U.base_parts(F.col(url))})
+    headed = with_head(pages, html)
+    out = headed.withColumns({"_m": H.metas_of(F.col("_head")), "_base": U.base_parts(F.col(url))})
 
     def robots(*words: str) -> Column:
         def hit(m: Column) -> Column:
@@ -69,7 +89,7 @@ def robots_meta(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
         F.lower("_r").contains("url="), F.expr("substr(_r, instr(lower(_r), 'url=') + 4)")
     ).otherwise(F.expr("substr(_r, instr(_r, ';') + 1)"))
     href = F.when(F.col("_r").contains(";"), F.coalesce(U.resolve(F.col("_base"), after), F.col(url))).otherwise(F.col(url))
-    return out.withColumns(
+    flagged = out.withColumns(
         {
             "no_index": robots("none", "noindex"),
             "no_follow": robots("none", "nofollow"),
@@ -77,7 +97,8 @@ def robots_meta(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
             "refresh_time": F.substring_index("_r", ";", 1).try_cast("int"),
             "refresh_href": F.when(F.col("_r").isNotNull(), href),
         }
-    ).drop("_m", "_base", "_r")
+    )
+    return _without(flagged, pages, "_m", "_base", "_r", "_head")
 
 
 def base_href(pages: DataFrame, url: str = "url", html: str = "html", name: str = "base_url", relative: bool = False) -> DataFrame:
@@ -85,14 +106,14 @@ def base_href(pages: DataFrame, url: str = "url", html: str = "html", name: str
 
     ``relative=True`` resolves each base against the page url and takes the last one.
     """
-    tags = F.regexp_extract_all(H.head_of(F.col(html)), F.lit(r"(?is)<base\b([^>]*)>"), 1)
-    out = pages.withColumns({"_hrefs": F.transform(tags, lambda a: H.attr(a, "href")), "_base": U.base_parts(F.col(url))})
+    tags = F.regexp_extract_all("_head", F.lit(r"(?is)<base\b([^>]*)>"), 1)
+    out = with_head(pages, html).withColumns({"_hrefs": F.transform(tags, lambda a: H.attr(a, "href")), "_base": U.base_parts(F.col(url))})
     if relative:
         good = F.filter(F.transform("_hrefs", lambda h: U.resolve(F.col("_base"), h)), lambda h: h.isNotNull())
         found = F.get(good, F.size(good) - 1)
     else:
         found = F.get(F.filter("_hrefs", lambda h: U.is_valid_url(h)), F.lit(0))
-    return out.withColumn(name, F.coalesce(found, F.col(url))).drop("_hrefs", "_base")
+    return _without(out.withColumn(name, F.coalesce(found, F.col(url))), pages, "_hrefs", "_base", "_head")
 
 
 def charset_clues(pages: DataFrame, content: Column, header: Column) -> DataFrame:
@@ -129,21 +150,22 @@ def main_content(pages: DataFrame, html: str = "html") -> DataFrame:
     The title is the article's first heading, else the page title. Pages without an article get
     null and belong to the tolerant tier.
     """
-    article = H.article_html(F.col(html))
-    heading = H.collapse(
-        H.decode_entities(F.regexp_replace(F.regexp_extract(F.col("_article"), r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", 1), r"(?s)<[^>]*>", " "))
-    )
-    return (
-        pages.withColumn("_article", F.nullif(article, F.lit("")))
-        .withColumns(
-            {
-                "content_title": F.coalesce(F.nullif(heading, F.lit("")), H.title_of(F.col(html))),
-                "content_text": H.visible_text(F.col("_article")),
-            }
-        )
-        .withColumn("content_text_length", F.length("content_text"))
-        .drop("_article")
+    cut = with_head(pages, html).withColumn("_article", F.nullif(H.article_html(F.col(html)), F.lit("")))
+    first_heading = F.regexp_extract("_article", r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", 1)
+    bare = cut.withColumns(
+        {
+            "_heading": H.drop_tags(first_heading),
+            "_title": H.bare_title(F.col("_head")),
+            "_text": H.drop_tags(F.col("_article")),
+        }
     )
+    out = bare.withColumns(
+        {
+            "content_title": F.coalesce(F.nullif(H.readable(F.col("_heading")), F.lit("")), H.readable(F.col("_title"))),
+            "content_text": H.readable(F.col("_text")),
+        }
+    ).withColumn("content_text_length", F.length("content_text"))
+    return _without(out, pages, "_article", "_heading", "_title", "_text", "_head")
 
 
 def indexable(pages: DataFrame) -> DataFrame:

@@ -60,35 +60,34 @@ def accepted_outlinks(fetched: DataFrame, key: str = "page_id", old: DataFrame |
     return L.outlink_codes(links, F.col("opts"), known=known).where("code = 0").select(key, "tag_pos", "to_url", "anchor")
 
 
-def index_fields(fetched: DataFrame, key: str = "key", html: str = "html") -> DataFrame:
-    """Index document fields of fetched pages, first writer first."""
-    ok = P.robots_meta(fetched.where("fetch_code = 0"), html=html)
-    base = D.base_fields(ok, key)
+def index_fields(fetched: DataFrame, key: str = "key", html: str = "html", entities: list[dict[str, Column]] | None = None) -> DataFrame:
+    """Index document fields of fetched pages: base fields, extracted content, then ``entities``.
+
+    One pass over the content: pages that robots keep out of the index only write base fields.
+    """
+    ok = P.robots_meta(P.with_head(fetched.where("fetch_code = 0"), html), html=html)
+    shown = ok.withColumns({html: F.when(~F.col("no_index"), F.col(html)), "_head": F.when(~F.col("no_index"), F.col("_head"))})
     content = P.charset_resolution(
-        P.main_content(P.indexable(ok), html), F.encode(F.substring(html, 1, 2000), "UTF-8"), F.lit(None).cast("string")
-    )
-    entity = D.entity_fields(
-        content,
-        key,
-        {
-            "title": F.col("content_title"),
-            "text_content": F.col("content_text"),
-            "text_content_length": F.col("content_text_length"),
-            "encoding": F.col("charset"),
-        },
-        rank=1,
+        P.main_content(shown, html), F.encode(F.substring(html, 1, 2000), "UTF-8"), F.lit(None).cast("string")
     )
-    return base.unionByName(D.value_length(entity))
+    extracted = {
+        "title": F.col("content_title"),
+        "text_content": F.col("content_text"),
+        "text_content_length": F.col("content_text_length"),
+        "encoding": F.when(~F.col("no_index"), F.col("charset")),
+    }
+    return D.page_fields(content, key, [D.base_entity(key), extracted, *(entities or [])], D.MAX_VALUE_LENGTH)
 
 
 def fetch_index(
     table: DataFrame, batch_id: str, log: DataFrame, archive: DataFrame, mapping: DataFrame, key: str = "page_id"
 ) -> DataFrame:
-    """Index rows (id, field, rnk, value) of a batch: fetched, extracted, merged, mapped."""
+    """Index rows (id, field, rnk, value) of a batch: fetched, extracted, merged, mapped.
+
+    Merged fields have one value each, so mapping is all the sink asks for.
+    """
     batch = R.active_pages(R.batch_pages(table, batch_id))
-    fetched = fetch(batch, log, archive, key)
-    fields = D.add_if_absent(index_fields(fetched))
-    return D.sink_rows(fields, mapping)
+    return D.mapped_fields(index_fields(fetch(batch, log, archive, key)), mapping)
 
 
 def extract_links(
@@ -108,9 +107,9 @@ def extract_pages(pages: DataFrame, html: str = "html", header: Column | None =
     """Title, text, meta data, robots flags, charset and content type of pages; the html is dropped."""
     content_type = header if header is not None else F.lit(None).cast("string")
     start = F.encode(F.substring(html, 1, 2000), "UTF-8")
-    out = P.page_metadata(P.robots_meta(P.page_text(P.page_title(pages, html), html), html=html), html)
+    out = P.page_metadata(P.robots_meta(P.page_title(P.with_head(P.page_text(pages, html), html), html), html=html), html)
     out = P.charset_resolution(out, start, content_type)
-    return P.mime_resolution(out, content_type, F.col("url"), start).drop(html)
+    return P.mime_resolution(out, content_type, F.col("url"), start).drop(html, "_head")
 
 
 def enrich_urls(df: DataFrame, url: str, suffixes: DataFrame, partitions: int, run_seed: int = 0) -> DataFrame:

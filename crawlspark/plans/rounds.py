@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlspark.operators.docs import mapped_fields
 from crawlspark.operators.links import insert_absent, outlink_pages
 from crawlspark.plans.jobs import accepted_outlinks, fetch, fetched_state, generate, index_fields
 from crawlspark.session import work_dir
@@ -55,7 +56,7 @@ def crawl_rounds(
         links = write_snapshot(links, os.path.join(folder, "links", str(number)))
         old_links = links if old_links is None else old_links.unionByName(links)
         if mapping is not None:
-            write_index(index_fields(fetched), mapping, os.path.join(folder, "index", str(number)))
+            write_index(mapped_fields(index_fields(fetched), mapping), os.path.join(folder, "index", str(number)))
         changed = upsert(state, fetched_state(fetched, now).select(*_STATE))
         grown = insert_absent(changed, conform(outlink_pages(links, now)).select(*_STATE))
         state = write_snapshot(grown, os.path.join(folder, "state", str(number)))

@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from crawlspark.operators.docs import sink_rows
 
-
-def write_index(fields: DataFrame, mapping: DataFrame, path: str, max_rows_per_file: int = 1_000_000) -> None:
-    """Write the index rows of documents; a rerun replaces the folder, so a retry writes no row twice."""
-    rows = sink_rows(fields, mapping)
+def write_index(rows: DataFrame, path: str, max_rows_per_file: int = 1_000_000) -> None:
+    """Write index rows; a rerun replaces the folder, so a retry writes no row twice."""
     rows.write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file).parquet(path)
