@@ -33,20 +33,34 @@ OPTION_NAMES = {
     "config": ("-config",),
 }
 HELP_NAMES = ("-h", "-help", "--help")
-DEFAULTS = {
-    "log": 0,
-    "interval_s": 3600,
-    "priority": 0,
-    "score": 0,
-    "depth": 1,
-    "zone": "UTC",
-    "follow_dom": "body",
-    "amin": 5,
-    "amax": 50,
-    "umin": 10,
-    "umax": 200,
-    "entity_dom": "body",
-}
+# Parsed option, its type and default.
+OPTION_FIELDS = (
+    ("log", "int", 0),
+    ("interval_s", "bigint", 3600),
+    ("priority", "int", 0),
+    ("score", "int", 0),
+    ("depth", "int", 1),
+    ("zone", "string", "UTC"),
+    ("follow_dom", "string", "body"),
+    ("keywords", "string", None),
+    ("indexer", "string", None),
+    ("amin", "int", 5),
+    ("amax", "int", 50),
+    ("umin", "int", 10),
+    ("umax", "int", 200),
+    ("upre", "string", ""),
+    ("ucon", "string", ""),
+    ("upos", "string", ""),
+    ("ureg", "string", ""),
+    ("entity", "string", None),
+    ("entity_dom", "string", "body"),
+    ("collection", "string", None),
+    ("collection_dom", "string", None),
+    ("collection_item", "string", None),
+    ("crawl_id", "string", None),
+    ("config", "string", None),
+    ("bad_options", "string", ""),
+)
 
 BLANK = r"[ \t]+"
 
@@ -74,46 +88,23 @@ def option_value(args: Column, name: str) -> Column:
 def parse_options(args: Column) -> Column:
     """All options of one seed line as a struct; what is missing or malformed has its default."""
 
-    def text(name: str) -> Column:
-        return F.coalesce(option_value(args, name), F.lit(DEFAULTS.get(name)).cast("string")).alias(name)
 
-    def number(name: str) -> Column:
-        return F.coalesce(option_value(args, name).try_cast("int"), F.lit(DEFAULTS[name])).alias(name)
+    def field(name: str, kind: str, default) -> Column:
+        if name == "interval_s":
+            value = duration_seconds(option_value(args, "interval"))
+        elif name == "bad_options":
+            value = bad_options(args)
+        else:
+            value = option_value(args, name)
+            value = value.try_cast("int") if kind == "int" else value
+        return F.coalesce(value, F.lit(default).cast(kind)).alias(name)
 
-    return F.struct(
-        number("log"),
-        F.coalesce(duration_seconds(option_value(args, "interval")), F.lit(DEFAULTS["interval_s"]).cast("bigint")).alias(
-            "interval_s"
-        ),
-        number("priority"),
-        number("score"),
-        number("depth"),
-        text("zone"),
-        text("follow_dom"),
-        option_value(args, "keywords").alias("keywords"),
-        option_value(args, "indexer").alias("indexer"),
-        number("amin"),
-        number("amax"),
-        number("umin"),
-        number("umax"),
-        F.coalesce(option_value(args, "upre"), F.lit("")).alias("upre"),
-        F.coalesce(option_value(args, "ucon"), F.lit("")).alias("ucon"),
-        F.coalesce(option_value(args, "upos"), F.lit("")).alias("upos"),
-        F.coalesce(option_value(args, "ureg"), F.lit("")).alias("ureg"),
-        option_value(args, "entity").alias("entity"),
-        text("entity_dom"),
-        option_value(args, "collection").alias("collection"),
-        option_value(args, "collection_dom").alias("collection_dom"),
-        option_value(args, "collection_item").alias("collection_item"),
-        option_value(args, "crawl_id").alias("crawl_id"),
-        option_value(args, "config").alias("config"),
-        bad_options(args).alias("bad_options"),
-    )
+    return F.struct(*[field(*f) for f in OPTION_FIELDS])
 
 
 def default_options() -> Column:
     """The options a page without any has."""
-    return parse_options(F.lit(""))
+    return F.struct(*[F.lit(default).cast(kind).alias(name) for name, kind, default in OPTION_FIELDS])
 
 
 def bad_options(args: Column) -> Column:

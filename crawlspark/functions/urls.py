@@ -13,10 +13,11 @@ KNOWN_SCHEMES = "https?|ftp|file|jar|mailto"
 _LEAD = r"^[\x00-\x20]*"
 _SCHEME = _LEAD + r"[A-Za-z][A-Za-z0-9+.-]*:"
 _VALID = _LEAD + r"(?i)(" + KNOWN_SCHEMES + "):"
-_USERINFO = r"(?:[^/?#@]*@)?"
-_HOST = _SCHEME + "//" + _USERINFO + r"(\[[^\]/?#]*\]|[^:/?#]*)"
-_PORT = _SCHEME + "//" + _USERINFO + r"(?:\[[^\]/?#]*\]|[^:/?#]*):([0-9]+)"
-_BAD_PORT = _SCHEME + "//" + _USERINFO + r"(?:\[[^\]/?#]*\]|[^:/?#]*):[0-9]*[^0-9/?#]"
+# possessive: text before an "@" is never read as host and port
+_USERINFO = r"(?:[^/?#@]*@)?+"
+_HOST = _SCHEME + "//" + _USERINFO + r"(\[[^\]/?#]*\]|[^:/?#\[]*)"
+_PORT = _SCHEME + "//" + _USERINFO + r"(?:\[[^\]/?#]*\]|[^:/?#\[]*):([0-9]+)"
+_BAD_PORT = _SCHEME + "//" + _USERINFO + r"(?:\[[^\]/?#]*\]|[^:/?#\[]*):[0-9]*[^0-9/?#]"
 _IPV4 = r"^([0-9]{1,3}[.]){3}[0-9]{1,3}$"
 _ABSOLUTE = r"^[A-Za-z][A-Za-z0-9.+-]*:"
 _BLANKS = "".join(chr(c) for c in range(33))
@@ -83,7 +84,7 @@ def group_or_default(group: Column, default: Column) -> Column:
 
 # --- row keys -------------------------------------------------------------------------------
 
-_KEY = r"^(\[[^\]/?#]*\]|[^:/?#]*):([A-Za-z][A-Za-z0-9+.-]*)(?::([0-9]+))?(.*)$"
+_KEY = r"^(\[[^\]/?#]*\]|[^:/?#\[]*):([A-Za-z][A-Za-z0-9+.-]*)(?::([0-9]+))?(.*)$"
 
 
 def reverse_key(url: Column) -> Column:
@@ -110,7 +111,7 @@ def unreverse_key(key: Column) -> Column:
         F.when(host != "", F.lit("://")).otherwise(":"),
         F.when(host.startswith("["), host).otherwise(_reverse_labels(host)),
         F.when(port != "", F.concat(F.lit(":"), port)).otherwise(""),
-        F.regexp_extract(key, r"^(?:\[[^\]/?#]*\]|[^:/?#]*):[A-Za-z][A-Za-z0-9+.-]*(?::[0-9]+)?([\s\S]*)$", 1),
+        F.regexp_extract(key, r"^(?:\[[^\]/?#]*\]|[^:/?#\[]*):[A-Za-z][A-Za-z0-9+.-]*(?::[0-9]+)?([\s\S]*)$", 1),
     )
 
 

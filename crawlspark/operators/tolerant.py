@@ -46,7 +46,7 @@ class _Events(HTMLParser):
         values = {}
         for name, value in attrs:
             values.setdefault(name, value or "")
-        for link in self.open_links:
+        for link in self.open_links[-1:]:
             link["elements"] += 1
             link["only"] = tag
         if tag in LINK_TARGETS:
@@ -96,7 +96,7 @@ class _Events(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.cdata_elem in ("script", "style"):
             return
-        for link in self.open_links:
+        for link in self.open_links[-1:]:
             link["children"] += 1
             if data.strip():
                 link["bare_text"] = True
