@@ -501,9 +501,30 @@ union all select 'mLater', later from sums union all select 'mPersist', passed f
 union all select 'rRows', passed from sums union all select 'rPersist', passed from sums"""
 
 
-@query("job_counters", f"with {_CODED} {_COUNTER_ROWS}", "webdb")
+_FETCH_ROWS = """select 'rRows' as name, count(*) as value from fetched
+union all select 'rFetched', count(*) from fetched where code = 200 union all select 'rIndexed', count(*) from fetched where code = 200
+union all select 'rPersist', count(*) from fetched where code = 200 union all select 'rOutlinks', count(*) from accepted"""
+
+
+def _with_sources() -> str:
+    return f"""with {_CODED}, {_OK}, {_ACCEPTED}
+select 'generate' as job, name, value from ({_COUNTER_ROWS}) t
+union all select 'fetch', name, cast(value as bigint) from ({_FETCH_ROWS}) t
+union all select 'inject', 'mRows', count(*) from seeds
+union all select 'inject', 'mPersist', count(*) from seeds where contains(line, ' -w ')"""
+
+
+@query("job_counters")
 def job_counters(fx: Fixture) -> DataFrame:
-    return K.generate_counters(fx.view("webdb"), now())
+    fetched = _fetched(fx)
+    links = J.accepted_outlinks(fetched).groupBy("page_id").agg(F.count(F.lit(1)).alias("links"))
+    parts = {
+        "inject": K.inject_counters(fx.view("seeds")),
+        "generate": K.generate_counters(fx.view("webdb"), now()),
+        "fetch": K.fetch_counters(fetched.join(links, "page_id", "left"), outlinks="links"),
+    }
+    rows = [df.select(F.lit(job).alias("job"), "name", "value") for job, df in parts.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 _DEPTH = "select case when distance between 0 and 3 then cast(distance as varchar) else 'N' end as depth, count(*) as n from webdb group by 1"
@@ -1369,6 +1390,9 @@ _ACCEPTED = f"""accepted as (select page_id, to_url, anchor from (
   where length(to_url) between 10 and 200 and length(anchor) between 5 and 50)"""
 
 
+ORACLES["job_counters"] = with_views(_with_sources(), "webdb", "fetch_log", "links", "seeds")
+
+
 @query(
     "outlink_pages",
     f"""with {_OK}, {_ACCEPTED}

@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 from crawlspark.functions.let import let
 
 _ATTR = r"""([^\s=>"'/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-_COMMENT = r"(?s)<!--.*?-->"
-_HIDDEN = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>"
+# Each pattern starts with one "<" outside its branches: the matcher skips text at full speed.
+# comments, and script or style blocks with their content
+_HIDDEN = r"(?is)<(?:!--.*?-->|(script|style)\b[^>]*>.*?</\1\s*>)"
 _TAG = r"(?s)<[!/?A-Za-z][^>]*>"
+_MARKUP = r"(?is)<(?:!--.*?-->|(script|style)\b[^>]*>.*?</\1\s*>|[!/?a-z][^>]*>)"
+_HOLLOW = r"(?is)(?=<)(?:<!--.*?-->|(<(script|style)\b[^>]*>).*?(</\2\s*>))"
 
 
 def attr_names(attrs: Column) -> Column:
@@ -48,40 +51,51 @@ _REFERENCES = ";".join(f"{name}={chr(cp)}" for name, cp in sorted(name2codepoint
 
 
 def decode_entities(text: Column) -> Column:
-    """Decode named (HTML 4) and numeric character references in one pass, so nothing decodes twice."""
+    """Decode named (HTML 4) and numeric character references; nothing decodes twice.
+
+    ``&amp;``, by far the most frequent, stays as it is until everything else is decoded.
+    """
     table = F.str_to_map(F.lit(_REFERENCES), F.lit(";"), F.lit("="))
     ref = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
+    def char(name: Column) -> Column:
+        code = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2)))
+        return F.when(name.startswith("#"), _code_point(code.try_cast("int"))).otherwise(F.try_element_at(table, name))
+
     def piece(p: Column, i: Column) -> Column:
-        name = F.regexp_extract(p, ref, 1)
-        code = F.when(name.startswith("#x") | name.startswith("#X"), F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(
-            F.substr(name, F.lit(2))
-        ).try_cast("int")
-        char = F.when(name.startswith("#"), _code_point(code)).otherwise(F.try_element_at(table, name))
         whole = F.concat(F.lit("&"), p)
-        return F.when(i == 0, p).when(name == "", whole).otherwise(
-            F.coalesce(F.concat(char, F.substr(p, F.length(name) + 2)), whole)
-        )
+
+        def named(name: Column) -> Column:
+            return F.when(name == "", whole).otherwise(F.coalesce(F.concat(char(name), F.substr(p, F.length(name) + 2)), whole))
+
+        return F.when(i == 0, p).otherwise(let(F.regexp_extract(p, ref, 1), named))
 
     def decoded(t: Column) -> Column:
-        return F.when(t.contains("&"), F.array_join(F.transform(F.split(t, "&"), piece), "")).otherwise(t)
+        others = F.array_join(F.transform(F.split(t, "&(?!amp;)"), piece), "")
+        return F.when(t.contains("&"), F.replace(others, F.lit("&amp;"), F.lit("&"))).otherwise(t)
 
     return let(text, decoded)
 
 
 def _code_point(code: Column) -> Column:
-    # UTF-32BE bytes of one code point; 0, surrogates and out-of-range values become U+FFFD
+    # UTF-32BE bytes of one code point; 0, surrogates and out-of-range values become U+FFFD,
+    # an ampersand stays encoded for the last step
     bad = (code <= 0) | (code > 1114111) | code.between(55296, 57343)
-    return F.when(bad, F.lit("\ufffd")).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-
-
-def strip_comments(html: Column) -> Column:
-    return F.regexp_replace(html, _COMMENT, "")
+    return (
+        F.when(bad, F.lit("\ufffd"))
+        .when(code == 38, F.lit("&amp;"))
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    )
 
 
 def strip_hidden(html: Column) -> Column:
     """Html without comments, script and style blocks."""
-    return F.regexp_replace(strip_comments(html), _HIDDEN, "")
+    return F.regexp_replace(html, _HIDDEN, "")
+
+
+def hollow(html: Column) -> Column:
+    """Html without comments and without the content of scripts and styles; their tags stay."""
+    return F.regexp_replace(html, _HOLLOW, "$1$3")
 
 
 def head_of(html: Column) -> Column:
@@ -91,12 +105,13 @@ def head_of(html: Column) -> Column:
 
 def collapse(text: Column) -> Column:
     """Whitespace runs to one blank, ends trimmed."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    # single blanks, the usual case, are left alone
+    return F.trim(F.regexp_replace(text, r"\s(?:\s+|(?<! ))", " "))
 
 
 def bare_text(html: Column) -> Column:
-    """Markup without hidden blocks and tags, references still encoded."""
-    return F.regexp_replace(strip_hidden(html), _TAG, " ")
+    """Text nodes outside hidden blocks, parted by blanks, references still encoded."""
+    return F.regexp_replace(html, _MARKUP, " ")
 
 
 def drop_tags(markup: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crawlspark.functions.let import let
+
 # Option names with their aliases and defaults.
 OPTION_NAMES = {
     "log": ("-log", "-verbose"),
@@ -126,8 +128,12 @@ def field_extractors(args: Column, flag: str) -> Column:
     pattern = F.lit(rf"(?:^|[ \t])-{flag}([^ \t=]+)=([^ \t]*)" if flag == "FF" else r"(?:^|[ \t])-F(?!F)([^ \t=]+)=([^ \t]*)")
     names = F.regexp_extract_all(args, pattern, 1)
     paths = F.transform(F.regexp_extract_all(args, pattern, 2), lambda p: F.replace(p, F.lit("%"), F.lit(" ")))
-    entries = F.filter(F.arrays_zip(names.alias("k"), paths.alias("v")), lambda e, i: F.array_position(names, e["k"]) == i + 1)
-    return F.map_from_entries(entries)
+
+    def first_of_each(ns: Column) -> Column:
+        zipped = F.arrays_zip(ns.alias("k"), paths.alias("v"))
+        return F.map_from_entries(F.filter(zipped, lambda e, i: F.array_position(ns, e["k"]) == i + 1))
+
+    return let(names, first_of_each)
 
 
 # --- typed values ---------------------------------------------------------------------------
@@ -183,10 +189,13 @@ def weighted_keywords(text: Column) -> Column:
             .alias("weight"),
         ),
     )
-    return F.filter(
-        entries,
-        lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["keyword"] == e["keyword"]),
-    )
+
+    def last_of_each(es: Column) -> Column:
+        return F.filter(
+            es, lambda e, i: ~F.exists(F.slice(es, i + 2, F.size(es)), lambda later: later["keyword"] == e["keyword"])
+        )
+
+    return let(entries, last_of_each)
 
 
 def _has_weight(part: Column) -> Column:

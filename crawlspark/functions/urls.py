@@ -241,13 +241,22 @@ def _with_host(url: Column, host: Column, new_host: Column, quote: bool) -> Colu
 
 def string_hash(text: Column) -> Column:
     """The 32-bit polynomial string hash (base 31 over UTF-16 units) as a signed int."""
-    units = F.regexp_extract_all(F.hex(F.encode(text, "UTF-16BE")), F.lit("(.{4})"), 1)
-    wrapped = F.aggregate(
-        units,
-        F.lit(0).cast("bigint"),
-        lambda h, u: F.pmod(h * 31 + F.conv(u, 16, 10).cast("bigint"), F.lit(4294967296)),
-    )
-    return F.when(wrapped >= 2147483648, wrapped - 4294967296).otherwise(wrapped).cast("int")
+
+    def fold(items: Column, unit) -> Column:
+        wrapped = F.aggregate(
+            items, F.lit(0).cast("bigint"), lambda h, u: (h * 31 + unit(u)).bitwiseAND(F.lit(4294967295))
+        )
+        return let(wrapped, lambda h: F.when(h >= 2147483648, h - 4294967296).otherwise(h).cast("int"))
+
+    def hashed(t: Column) -> Column:
+        units = F.regexp_extract_all(F.hex(F.encode(t, "UTF-16BE")), F.lit("(.{4})"), 1)
+        return (
+            F.when(t == "", 0)
+            .when(t.rlike(r"[^\x00-\x7F]"), fold(units, lambda u: F.conv(u, 16, 10).cast("bigint")))
+            .otherwise(fold(F.split(t, ""), lambda c: F.ascii(c).cast("bigint")))
+        )
+
+    return let(text, hashed)
 
 
 def partition_of(group: Column, partitions: int, run_seed: int = 0) -> Column:

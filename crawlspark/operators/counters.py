@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawlspark.functions import options as O
+from crawlspark.functions import urls as U
 from crawlspark.operators.frontier import YES
 
 # Page states that are counted.
 STATUSES = ("UNFETCHED", "FETCHED", "REDIR_TEMP", "REDIR_PERM", "NOTMODIFIED", "RETRY", "GONE")
 
 
+def inject_counters(lines: DataFrame, line: str = "line") -> DataFrame:
+    """Counters of an inject run as (name, value): lines read, and lines with a url that parses."""
+    url = O.seed_url(F.col(line))
+    return _long(lines.agg(F.count(F.lit(1)).alias("mRows"), F.count_if(U.is_valid_url(url)).alias("mPersist")))
+
+
 def generate_counters(webdb: DataFrame, now: Column, limit: int | None = None) -> DataFrame:
     """Counters of a generate run as (name, value), in one pass over the table."""
     active = ~F.col("mark_inactive").eqNullSafe(F.lit(YES))

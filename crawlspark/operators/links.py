@@ -27,11 +27,9 @@ LINK_TARGETS = {
 MAX_URL_LENGTH = 1024
 NEW_PAGE_INTERVAL_S = 1200
 
-# content of script and style goes away, the tags stay: a script is a link by its src
-_BLOCK = r"(?is)(<(script|style)\b[^>]*>).*?(</\2\s*>)"
-_OPENING = r"(?is)<(a|area|form|frame|iframe|script|link|img)(?=[\s/>])([^>]*)>"
+_OPENING = r"(?i)<(?:a|area|form|frame|iframe|script|link|img)(?=[\s/>])[^>]*>"
 # a piece starts where an anchor or form opens or closes
-_EDGE = r"(?i)(?=<(?:a|form)[\s/>]|</(?:a|form)\s*>)"
+_EDGE = r"(?i)(?=<(?:(?:a|form)[\s/>]|/(?:a|form)\s*>))"
 
 
 def raw_links(pages: DataFrame, key: list[str], html: str = "html", base: str | None = None) -> DataFrame:
@@ -41,33 +39,26 @@ def raw_links(pages: DataFrame, key: list[str], html: str = "html", base: str |
     of base parts) ``to_url`` is added. A page's links are built as one array and exploded last, so
     filters on them are evaluated on plain values.
     """
-    cleaned = F.regexp_replace(H.strip_comments(F.col(html)), _BLOCK, "$1$3")
-    cut = pages.select(*key, *([base] if base and base not in key else []), F.split(cleaned, _EDGE).alias("_pieces"))
-    linked = F.filter(
-        F.transform("_pieces", lambda p, i: F.struct(p.alias("text"), F.get("_pieces", i + 1).alias("next"))),
-        lambda p: p["text"].rlike(_OPENING),
+    cut = pages.select(*key, *([base] if base and base not in key else []), F.split(H.hollow(F.col(html)), _EDGE).alias("_pieces"))
+    links = F.flatten(
+        F.transform("_pieces", lambda p, i: _links_of(p, F.get("_pieces", i + 1), F.col(base) if base else None))
     )
-    links = F.flatten(F.transform(linked, lambda p: _links_of(p, F.col(base) if base else None)))
     return cut.select(*key, F.posexplode(links).alias("tag_pos", "_l")).select(*key, "tag_pos", "_l.*")
 
 
-def _links_of(piece: Column, base: Column | None) -> Column:
-    text = piece["text"]
-    found = F.arrays_zip(
-        F.regexp_extract_all(text, F.lit(_OPENING), 1).alias("tag"),
-        F.regexp_extract_all(text, F.lit(_OPENING), 2).alias("attrs"),
-    )
-
+def _links_of(piece: Column, following: Column, base: Column | None) -> Column:
     def link(t: Column, i: Column) -> Column:
-        return let(
-            F.struct(F.lower(t["tag"]).alias("tag"), H.attr_arrays(t["attrs"]).alias("a"), (i == 0).alias("first")),
-            lambda v: _link(v, piece, base),
+        view = F.struct(
+            F.lower(F.regexp_extract(t, "^<([A-Za-z]+)", 1)).alias("tag"),
+            H.attr_arrays(F.regexp_replace(t, "^<[A-Za-z]+", "")).alias("a"),
+            (i == 0).alias("first"),
         )
+        return let(view, lambda v: _link(v, piece, following, base))
 
-    return F.transform(found, link)
+    return F.transform(F.regexp_extract_all(piece, F.lit(_OPENING), 0), link)
 
 
-def _link(v: Column, piece: Column, base: Column | None) -> Column:
+def _link(v: Column, piece: Column, following: Column, base: Column | None) -> Column:
     def attr(name: str) -> Column:
         return H.pick_attr(v["a"]["names"], v["a"]["values"], name)
 
@@ -81,10 +72,10 @@ def _link(v: Column, piece: Column, base: Column | None) -> Column:
         fields = [
             v["tag"].alias("tag"),
             goal.alias("target"),
-            F.when(container, H.readable(H.drop_tags(piece["text"]))).otherwise("").alias("anchor"),
+            F.when(container, H.readable(H.drop_tags(piece))).otherwise("").alias("anchor"),
             attr("rel").alias("rel"),
             attr("method").alias("method"),
-            (container & _empty(piece)).alias("empty_container"),
+            (container & _empty(piece, following)).alias("empty_container"),
         ]
         if base is not None:
             fields.append(U.resolve(base, goal).alias("to_url"))
@@ -93,12 +84,12 @@ def _link(v: Column, piece: Column, base: Column | None) -> Column:
     return let(H.decode_entities(target), built)
 
 
-def _empty(piece: Column) -> Column:
+def _empty(piece: Column, following: Column) -> Column:
     """Whether an opening tag holds nothing, or only a nested tag of its own name."""
-    name = F.lower(F.regexp_extract(piece["text"], r"^<([A-Za-z]+)", 1))
-    nested = F.lower(F.regexp_extract(piece["next"], r"^<([A-Za-z]+)", 1)) == name
-    bare = piece["text"].rlike(r"(?s)^<[^>]*>$") & piece["next"].startswith("</")
-    return F.coalesce(bare | (nested & piece["text"].rlike(r"(?s)^<[^>]*>\s*$")), F.lit(False))
+    name = F.lower(F.regexp_extract(piece, r"^<([A-Za-z]+)", 1))
+    nested = F.lower(F.regexp_extract(following, r"^<([A-Za-z]+)", 1)) == name
+    bare = piece.rlike(r"^<[^>]*>$") & following.startswith("</")
+    return F.coalesce(bare | (nested & piece.rlike(r"^<[^>]*>\s*$")), F.lit(False))
 
 
 def follow_rules(links: DataFrame, ignore_tags: tuple[str, ...] = ("form",)) -> DataFrame:

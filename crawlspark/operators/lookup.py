@@ -39,11 +39,15 @@ def lookup_join(
     on = list(on)
     if fits_broadcast(dim, max_rows) if small is None else small:
         return df.join(F.broadcast(dim), on, how)
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if _hashable(df, c)]), F.lit(salts))
+    # by row and by task: neither one key nor many copies of one row stay together
+    mixed = F.xxhash64(*[F.col(c) for c in df.columns if _hashable(df, c)], F.spark_partition_id())
+    spread = F.pmod(mixed, F.lit(salts))
     left = df.withColumn("_salt", spread)
     right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
 def _hashable(df: DataFrame, column: str) -> bool:
-    return "map<" not in df.schema[column].dataType.simpleString()
+    """Cheap to hash: no maps, which have no hash, and no long values."""
+    kind = df.schema[column].dataType.simpleString()
+    return "map<" not in kind and kind != "binary" and column not in ("html", "content", "content_text")

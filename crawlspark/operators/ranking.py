@@ -92,7 +92,7 @@ def top_rows(df: DataFrame, order: Order, n: int, name: str = "rank", rows_per_b
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Order, n: int, name: str = "rank", salts: int = 32) -> DataFrame:
     """The first ``n`` rows of each key; hot keys are cut in ``salts`` parts before they meet."""
     columns = [column for _, column in order]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(salts)))
     part = Window.partitionBy(*keys, "_salt").orderBy(*columns)
     cut = salted.withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= n).drop("_r", "_salt")
     whole = Window.partitionBy(*keys).orderBy(*columns)

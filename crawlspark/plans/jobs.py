@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,11 +105,20 @@ def extract_links(
     return coded.drop("_sg", "_tg")
 
 
-def extract_pages(pages: DataFrame, html: str = "html", header: Column | None = None) -> DataFrame:
-    """Title, text, meta data, robots flags, charset and content type of pages; the html is dropped."""
+def extract_pages(
+    pages: DataFrame,
+    html: str = "html",
+    header: Column | None = None,
+    parser: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Title, text, meta data, robots flags, charset and content type of pages; the html is dropped.
+
+    ``parser`` is a caller's own step that adds ``title`` and ``text`` in place of the built-in one.
+    """
     content_type = header if header is not None else F.lit(None).cast("string")
     start = F.encode(F.substring(html, 1, 2000), "UTF-8")
-    out = P.page_metadata(P.robots_meta(P.page_title(P.with_head(P.page_text(pages, html), html), html), html=html), html)
+    parsed = parser(pages) if parser else P.page_title(P.with_head(P.page_text(pages, html), html), html)
+    out = P.page_metadata(P.robots_meta(P.with_head(parsed, html), html=html), html)
     out = P.charset_resolution(out, start, content_type)
     return P.mime_resolution(out, content_type, F.col("url"), start).drop(html, "_head")
 

@@ -1,4 +1,4 @@
-"""Rounds of generate and fetch on snapshots."""
+"""Rounds of generate and fetch on a base table and its deltas."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlspark.operators.docs import mapped_fields
-from crawlspark.operators.links import insert_absent, outlink_pages
+from crawlspark.operators.links import outlink_pages
 from crawlspark.plans.jobs import accepted_outlinks, fetch, fetched_state, generate, index_fields
 from crawlspark.session import work_dir
 from crawlspark.sources.sinks import write_index
@@ -34,33 +34,54 @@ def crawl_rounds(
     batch_prefix: str = "b",
     folder: str | None = None,
     stop: Callable[[], bool] | None = None,
+    compact_every: int = 8,
 ) -> DataFrame:
-    """One round per start time; returns the last snapshot of the web table.
+    """One round per start time; returns the last state of the web table, written as a snapshot.
 
-    ``log`` and ``archive`` are keyed by url. Each round writes the fetched batch once (state, links
-    and index rows read their own columns of it) and the next snapshot; plans never grow. The loop
-    ends early when a round selects nothing or ``stop`` says so.
+    ``log`` and ``archive`` are keyed by url. A round writes what it fetched, once (state, links and
+    index rows read their own columns of it), and then only the rows it changed; the table itself is
+    written again every ``compact_every`` rounds. Every step starts from written tables, so plans
+    never grow and a lost executor costs one step. The loop ends early when a round selects nothing
+    or ``stop`` says so.
     """
     folder = folder or work_dir(spark, "rounds")
-    state = write_snapshot(conform(table).select(*_STATE), os.path.join(folder, "state", "0"))
-    old_links = None
+
+    def path(kind: str, number: int) -> str:
+        return os.path.join(folder, kind, f"round={number}")
+
+    base = write_snapshot(conform(table).select(*_STATE), path("base", 0))
+    deltas: list[str] = []
+    links_of: list[str] = []
     for number, start in enumerate(starts, 1):
         if stop and stop():
             break
         now = F.lit(start).cast("timestamp_ntz")
+        state = _current(base, deltas)
         batch = generate(state, now, f"{batch_prefix}{number}", top_n).drop("rank")
-        fetched = write_snapshot(fetch(batch, log, archive, "url"), os.path.join(folder, "fetched", str(number)))
+        fetched = write_snapshot(fetch(batch, log, archive, "url"), path("fetched", number))
         if fetched.isEmpty():
             break
-        links = _accepted(fetched, old_links)
-        links = write_snapshot(links, os.path.join(folder, "links", str(number)))
-        old_links = links if old_links is None else old_links.unionByName(links)
+        old_links = spark.read.parquet(*links_of) if links_of else None
+        links = write_snapshot(_accepted(fetched, old_links), path("links", number))
+        links_of.append(path("links", number))
         if mapping is not None:
-            write_index(mapped_fields(index_fields(fetched), mapping), os.path.join(folder, "index", str(number)))
-        changed = upsert(state, fetched_state(fetched, now).select(*_STATE))
-        grown = insert_absent(changed, conform(outlink_pages(links, now)).select(*_STATE))
-        state = write_snapshot(grown, os.path.join(folder, "state", str(number)))
-    return state
+            write_index(mapped_fields(index_fields(fetched), mapping), path("index", number))
+        changed = fetched_state(fetched, now).select(*_STATE)
+        fresh = conform(outlink_pages(links, now)).select(*_STATE)
+        added = fresh.join(state.select("key"), "key", "left_anti")
+        write_snapshot(changed.unionByName(added).withColumn("version", F.lit(number)), path("delta", number))
+        deltas.append(path("delta", number))
+        if number % compact_every == 0:
+            base, deltas = write_snapshot(_current(base, deltas), path("base", number)), []
+    return write_snapshot(_current(base, deltas), os.path.join(folder, "final"))
+
+
+def _current(base: DataFrame, deltas: list[str]) -> DataFrame:
+    """The base with the latest change of every key; all deltas are one scan."""
+    if not deltas:
+        return base
+    changes = base.sparkSession.read.parquet(*deltas)
+    return upsert(base, changes, version="version").select(*_STATE)
 
 
 def _accepted(fetched: DataFrame, old_links: DataFrame | None) -> DataFrame:

@@ -151,3 +151,13 @@ def test_main_content_tolerant(spark):
     html = f"<title>T</title><nav><p>{words}</p></nav><h1>Head</h1><p>{words}<p>short<li><a href=x>{words}</a><div>{words} <a>l</a></div>"
     row = T.main_content_tolerant(page(spark, html), "id").first()
     assert row.content_title == "Head" and row.content_text == f"{words}\n{words} l"
+
+
+def test_own_parser(spark):
+    from crawlspark.plans.jobs import extract_pages
+
+    def shout(pages):
+        return pages.withColumns({"title": F.lit("mine"), "text": F.upper("html")})
+
+    row = extract_pages(page(spark, "<html><head><title>t</title></head>"), parser=shout).first()
+    assert (row.title, row.text, row.meta_title, row.mime) == ("mine", "<HTML><HEAD><TITLE>T</TITLE></HEAD>", "t", "text/html")
