@@ -5,13 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlspark import fixtures
 from crawlspark.fixtures import BATCH, NOW, Fixture, keyed, with_views
 from crawlspark.functions import options as O
 from crawlspark.functions import urls as U
+from crawlspark.functions.charsets import head_bytes
+from crawlspark.functions.html import decode_entities
 from crawlspark.operators import counters as K
 from crawlspark.operators import docs as D
 from crawlspark.operators import domains as N
@@ -21,6 +23,7 @@ from crawlspark.operators import pageindex as X
 from crawlspark.operators import pages as P
 from crawlspark.operators import seeds as Q
 from crawlspark.operators import state as S
+from crawlspark.operators import tolerant as T
 from crawlspark.plans import jobs as J
 from crawlspark.plans.rounds import crawl_rounds
 from crawlspark.sources import xml as XS
@@ -33,10 +36,13 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 PARTITIONS, RUN_SEED = 8, 1
-now = lambda: F.lit(NOW).cast("timestamp_ntz")
 NOW_SQL = f"timestamp '{NOW}'"
 
 
+def now() -> Column:
+    return F.lit(NOW).cast("timestamp_ntz")
+
+
 def query(name: str, sql: str | None = None, views: str = "") -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
@@ -132,10 +138,7 @@ def seed_lines(fx: Fixture) -> DataFrame:
     text = F.concat(
         "url", F.lit(" -p "), F.col("page_id").cast("string"), F.lit(" \\\n   -d 1\nhttp://next.example.com/"), F.col("page_id").cast("string")
     )
-    texts = fx.table("pages").select("page_id", text.alias("value"))
-    lines = texts.select("page_id", F.explode(F.array("value")).alias("value"))
-    joined = F.regexp_replace("value", r"[ \t]*\\[ \t]*\r?\n[ \t]*", " ")
-    return lines.select("page_id", F.explode(F.split(joined, r"\r?\n")).alias("line"))
+    return split_seed_text(fx.table("pages").select("page_id", text.alias("value")))
 
 
 @query(
@@ -214,9 +217,6 @@ def webdb_upsert(fx: Fixture) -> DataFrame:
     return upsert(table, changed.unionByName(once), "page_id", "version")
 
 
-_SINK = """merged as (select id, field, arg_min(value, rnk) as value, min(rnk) as rnk from doc_fields group by id, field)"""
-
-
 @query(
     "index_write",
     f"""with picked as (
@@ -238,9 +238,6 @@ def index_write(fx: Fixture) -> DataFrame:
     )
 
 
-_GENERATED = "select *, mark_generate as batch_id, fetch_time as generate_time from webdb"
-
-
 @query(
     "last_batch_id",
     "select coalesce(arg_max(mark_generate, fetch_time) filter (where mark_generate is not null), 'all') as batch_id from webdb",
@@ -299,7 +296,7 @@ from (select page_id, url, pos, {_decode("anchor")} as anchor,
 
 
 def _fixture_links(fx: Fixture) -> DataFrame:
-    links = fx.view("links").withColumn("anchor", H_decode(F.col("anchor")))
+    links = fx.view("links").withColumn("anchor", decode_entities(F.col("anchor")))
     target = (
         F.when(F.col("pos") % 5 == 1, F.concat(F.lit("http://other.example.com"), "href"))
         .when(F.col("pos") % 7 == 2, F.lit(""))
@@ -308,16 +305,9 @@ def _fixture_links(fx: Fixture) -> DataFrame:
     return links.withColumn("to_url", target)
 
 
-def H_decode(col):
-    from crawlspark.functions.html import decode_entities
-
-    return decode_entities(col)
-
-
 @query("outlink_filter", _OUTLINK_SQL, "links")
 def outlink_filter(fx: Fixture) -> DataFrame:
     links = _fixture_links(fx).withColumn("opts", O.parse_options(F.lit("-umax 60")))
-    # a page may link one target from several places: what is known is known per place here
     links = N.with_group(N.with_group(links, F.col("url"), name="_s"), F.col("to_url"), name="_t")
     coded = L.outlink_codes(
         links, F.col("opts"), known=F.col("pos") % 3 == 0, source_group="_s", target_group="_t", ignore_external=True
@@ -340,7 +330,7 @@ from (select page_id, pos, {_decode("anchor")} as anchor, concat({_origin("url")
 def link_filter(fx: Fixture) -> DataFrame:
     links = fx.view("links").withColumns(
         {
-            "anchor": H_decode(F.col("anchor")),
+            "anchor": decode_entities(F.col("anchor")),
             "to_url": U.resolve(U.base_parts(F.col("url")), F.col("href")),
             "opts": O.parse_options(
                 F.lit("-amin 3 -amax 12 -umax 50 -upre https:// -upos n -ucon example -ureg .*example[.](com|org)/.*")
@@ -401,18 +391,22 @@ _RULE_HTML = """concat('<body><a href="/a', cast(page_id as varchar), '"', case
     "link_follow_rules",
     f"""select page_id, 'a' as tag, concat('/a', page_id) as target from pages where page_id % 4 <> 0
 union all select page_id, 'form', '/f' from pages where page_id % 3 <> 0
-union all select page_id, 'img', '/i.png' from pages""",
+union all select page_id, 'img', '/i.png' from pages
+union all select page_id, 'a', href from links""",
+    "links",
 )
 def link_follow_rules(fx: Fixture) -> DataFrame:
-    html = F.expr(_RULE_HTML.replace("as varchar", "as string"))
-    pages = fx.table("pages").select("page_id", html.alias("html"))
+    tail = F.expr(_RULE_HTML.replace("as varchar", "as string"))
+    pages = fx.table("pages").select("page_id", F.concat("html", tail).alias("html"))
     return L.follow_rules(L.raw_links(pages, ["page_id"]), ignore_tags=("script",)).select("page_id", "tag", "target")
 
 
 @query(
     "empty_link_rule",
     """select page_id, concat('/', n, '/', page_id) as target, n in ('empty', 'outer', 'spaced') as empty_container
-from pages, (values ('empty'), ('outer'), ('inner'), ('spaced'), ('last'), ('blank'), ('image'), ('full')) v(n)""",
+from pages, (values ('empty'), ('outer'), ('inner'), ('spaced'), ('last'), ('blank'), ('image'), ('full')) v(n)
+union all select page_id, href, false from links""",
+    "links",
 )
 def empty_link_rule(fx: Fixture) -> DataFrame:
     shapes = [
@@ -423,8 +417,8 @@ def empty_link_rule(fx: Fixture) -> DataFrame:
         '<a href="/image/{}"><img></a>',
         '<a href="/full/{}">text</a>',
     ]
-    html = F.replace(F.lit("".join(shapes)), F.lit("{}"), F.col("page_id").cast("string"))
-    links = L.raw_links(fx.table("pages").select("page_id", html.alias("html")), ["page_id"])
+    tail = F.replace(F.lit("".join(shapes)), F.lit("{}"), F.col("page_id").cast("string"))
+    links = L.raw_links(fx.table("pages").select("page_id", F.concat("html", tail).alias("html")), ["page_id"])
     return links.where("tag = 'a'").select("page_id", "target", "empty_container")
 
 
@@ -565,7 +559,7 @@ _REPORT_LINK = f"""coded as (select page_id, pos, to_url, anchor,
 
 def _coded_links(fx: Fixture) -> DataFrame:
     links = fx.view("links").withColumns(
-        {"anchor": H_decode(F.col("anchor")), "to_url": U.resolve(U.base_parts(F.col("url")), F.col("href"))}
+        {"anchor": decode_entities(F.col("anchor")), "to_url": U.resolve(U.base_parts(F.col("url")), F.col("href"))}
     )
     return L.outlink_codes(links, O.default_options())
 
@@ -657,12 +651,7 @@ def selector_order(fx: Fixture) -> DataFrame:
     return R.selector_order(fx.view("webdb")).select("page_id", "url", "rank")
 
 
-@query(
-    "priority_order",
-    """select page_id, fetch_priority, cast(1 + sum(n) over (order by fetch_priority desc rows between unbounded preceding and 1 preceding) as bigint) as first_rank
-from (select fetch_priority, count(*) as n from webdb group by 1) t join (select page_id, fetch_priority as p from webdb) w on p = fetch_priority""",
-    "webdb",
-)
+@query("priority_order")
 def priority_order(fx: Fixture) -> DataFrame:
     ranked = R.priority_order(fx.view("webdb"), RUN_SEED)
     firsts = ranked.groupBy("fetch_priority").agg(F.min("rank").alias("first_rank"))
@@ -1145,6 +1134,12 @@ def extract_outlinks(fx: Fixture) -> DataFrame:
     return links.select("page_id", "tag", "target", "to_url", "anchor")
 
 
+@query("extract_outlinks_tolerant", ORACLES["extract_outlinks"])
+def extract_outlinks_tolerant(fx: Fixture) -> DataFrame:
+    links = T.extract_outlinks_tolerant(fx.table("pages"), "page_id")
+    return links.select("page_id", "tag", "target", "to_url", "anchor")
+
+
 @query(
     "seed_anchors",
     f"""select page_id, href, to_url, anchor from (
@@ -1163,6 +1158,11 @@ def page_text(fx: Fixture) -> DataFrame:
     return P.page_text(fx.table("pages")).select("page_id", "text")
 
 
+@query("page_text_tolerant", f"select page_id, {_text('html')} as text from pages")
+def page_text_tolerant(fx: Fixture) -> DataFrame:
+    return T.page_text_tolerant(fx.table("pages"), "page_id").select("page_id", "text")
+
+
 @query(
     "robots_meta",
     """select page_id, page_id % 6 in (0, 1, 4) as no_index, page_id % 6 in (0, 2, 4) as no_follow,
@@ -1253,7 +1253,7 @@ def charset_disagreement(fx: Fixture) -> DataFrame:
 )
 def mime_resolution(fx: Fixture) -> DataFrame:
     declared = F.when(F.col("page_id") % 3 == 0, F.lit("application/json; charset=utf-8")).otherwise("application/octet-stream")
-    content = F.when(F.col("page_id") % 5 == 0, F.encode(F.substring("html", 1, 64), "UTF-8"))
+    content = F.when(F.col("page_id") % 5 == 0, head_bytes(F.col("html")))
     pages = fx.table("pages")
     return P.mime_resolution(pages, declared, F.col("url"), content).select("page_id", "mime")
 
@@ -1270,6 +1270,11 @@ def main_content(fx: Fixture) -> DataFrame:
     return P.main_content(fx.table("pages")).select("page_id", "content_title", "content_text", "content_text_length")
 
 
+@query("main_content_tolerant")
+def main_content_tolerant(fx: Fixture) -> DataFrame:
+    return T.main_content_tolerant(fx.table("pages"), "page_id")
+
+
 # --- state ------------------------------------------------------------------------------------
 
 

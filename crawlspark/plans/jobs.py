@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.functions import urls as U
+from crawlspark.functions.charsets import head_bytes
 from crawlspark.functions.options import default_options
 from crawlspark.operators import counters as K
 from crawlspark.operators import docs as D
@@ -69,9 +70,7 @@ def index_fields(fetched: DataFrame, key: str = "key", html: str = "html", entit
     """
     ok = P.robots_meta(P.with_head(fetched.where("fetch_code = 0"), html), html=html)
     shown = ok.withColumns({html: F.when(~F.col("no_index"), F.col(html)), "_head": F.when(~F.col("no_index"), F.col("_head"))})
-    content = P.charset_resolution(
-        P.main_content(shown, html), F.encode(F.substring(html, 1, 2000), "UTF-8"), F.lit(None).cast("string")
-    )
+    content = P.charset_resolution(P.main_content(shown, html), head_bytes(F.col(html)), F.lit(None).cast("string"))
     extracted = {
         "title": F.col("content_title"),
         "text_content": F.col("content_text"),
@@ -116,7 +115,7 @@ def extract_pages(
     ``parser`` is a caller's own step that adds ``title`` and ``text`` in place of the built-in one.
     """
     content_type = header if header is not None else F.lit(None).cast("string")
-    start = F.encode(F.substring(html, 1, 2000), "UTF-8")
+    start = head_bytes(F.col(html))
     parsed = parser(pages) if parser else P.page_title(P.with_head(P.page_text(pages, html), html), html)
     out = P.page_metadata(P.robots_meta(P.with_head(parsed, html), html=html), html)
     out = P.charset_resolution(out, start, content_type)

@@ -20,4 +20,5 @@ def read_seed_lines(spark: SparkSession, path: str, continued: bool = True) -> D
 def split_seed_text(texts: DataFrame, text: str = "value") -> DataFrame:
     """Lines of whole texts with continuations joined."""
     joined = F.regexp_replace(text, r"[ \t]*\\[ \t]*\r?\n[ \t]*", " ")
-    return texts.select(F.explode(F.split(joined, r"\r?\n")).alias("line"))
+    others = [c for c in texts.columns if c != text]
+    return texts.select(*others, F.explode(F.split(joined, r"\r?\n")).alias("line"))
