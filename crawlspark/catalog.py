@@ -1293,6 +1293,20 @@ def inject(fx: Fixture) -> DataFrame:
     )
 
 
+@query(
+    "index_seeds",
+    """with new_links as (select distinct regexp_extract(line, '^([^ ]*)', 1) as to_url from seeds where contains(line, ' -w ')),
+old_links as (select url as to_url, page_id as p from pages where page_id % 5 = 0 and url not in (select to_url from new_links))
+select 'internal://seeds/1' as page, to_url, cast(row_number() over (order by g, p, to_url) - 1 as bigint) as pos
+from (select 0 as g, 0 as p, to_url from new_links union all select 1, p, to_url from old_links) t""",
+    "seeds",
+)
+def index_seeds(fx: Fixture) -> DataFrame:
+    listed = fx.table("pages").where("page_id % 5 = 0")
+    old = listed.select(F.lit("internal://seeds/1").alias("page"), F.col("url").alias("to_url"), F.col("page_id").alias("pos"))
+    return J.index_seeds(old, fx.view("seeds"))
+
+
 @query(
     "generate",
     f"""with {_PASSED}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from crawlspark.functions import options as O
@@ -21,20 +21,30 @@ def inject_counters(lines: DataFrame, line: str = "line") -> DataFrame:
 
 def generate_counters(webdb: DataFrame, now: Column, limit: int | None = None) -> DataFrame:
     """Counters of a generate run as (name, value), in one pass over the table."""
+    return _long(webdb.agg(*_generate_counts(now, limit)))
+
+
+def observe_generate(webdb: DataFrame, now: Column, observation: Observation, limit: int | None = None) -> DataFrame:
+    """The same table; whatever runs over it first fills ``observation`` with the counters, without a pass of its own.
+
+    Filters behind it no longer reach the files, so this suits runs that read the whole table anyway.
+    """
+    return webdb.observe(observation, *_generate_counts(now, limit))
+
+
+def _generate_counts(now: Column, limit: int | None) -> list[Column]:
     active = ~F.col("mark_inactive").eqNullSafe(F.lit(YES))
     redundant = active & ~F.col("is_seed") & (F.col("fetch_count") > 0)
     later = active & ~redundant & (F.col("fetch_time") > now)
-    passed = active & ~redundant & ~later
-    selected = F.count_if(passed)
-    wide = webdb.agg(
+    selected = F.count_if(active & ~redundant & ~later)
+    return [
         F.count_if(active).alias("mRows"),
         F.count_if(redundant).alias("redundant"),
         F.count_if(later).alias("mLater"),
         selected.alias("mPersist"),
         selected.alias("rRows"),
         (selected if limit is None else F.least(selected, F.lit(limit).cast("bigint"))).alias("rPersist"),
-    )
-    return _long(wide)
+    ]
 
 
 def fetch_counters(batch: DataFrame, code: str = "fetch_code", outlinks: str | None = None) -> DataFrame:

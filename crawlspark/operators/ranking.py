@@ -32,8 +32,8 @@ def rank_rows(
 ) -> DataFrame:
     """Add the 1-based position of each row among the rows with the same ``keys``.
 
-    ``order`` holds (alias, ascending column) pairs of string, integral or double type that are
-    never null and together break all ties (negate a number to sort it descending). With ``limit``
+    ``order`` holds (alias, ascending column) pairs that together break all ties (negate a number to
+    sort it descending). Keys and order are strings, integers or doubles and never null. With ``limit``
     only rows up to that position stay, and buckets beyond it are dropped before they are sorted.
     """
     keys = list(keys)

@@ -17,10 +17,15 @@ from crawlspark.operators import frontier as R
 from crawlspark.operators import links as L
 from crawlspark.operators import pages as P
 from crawlspark.operators import state as S
+from crawlspark.operators.pageindex import add_links
 from crawlspark.operators.seeds import inject as inject_rows
+from crawlspark.operators.seeds import valid_seeds
 from crawlspark.sources.responses import fetch_content
 from crawlspark.sources.webdb import upsert
 
+# Fixed value: url of the page that lists the index pages.
+SEED_HOME = "internal://seeds"
+
 
 def inject(table: DataFrame | None, lines: DataFrame, now: Column) -> DataFrame:
     """Web table with the seeds of the lines put in."""
@@ -28,6 +33,14 @@ def inject(table: DataFrame | None, lines: DataFrame, now: Column) -> DataFrame:
     return rows if table is None else upsert(table, rows)
 
 
+def index_seeds(old: DataFrame, lines: DataFrame, page_no: int = 1, home: str = SEED_HOME) -> DataFrame:
+    """Links (page, pos, to_url) of an index page with the seeds of the lines in front, by url."""
+    seeds = valid_seeds(lines).select(
+        F.lit(f"{home}/{page_no}").alias("page"), F.col("url").alias("to_url"), F.lit(0).cast("bigint").alias("pos")
+    )
+    return add_links(old, seeds)
+
+
 def generate(table: DataFrame, now: Column, batch_id: str, top_n: int) -> DataFrame:
     """The next batch: the first ``top_n`` due pages, marked, with their rank."""
     return R.mark_generated(R.generate_topn(table, now, top_n), now, batch_id)

@@ -39,9 +39,14 @@ WEBPAGE = T.StructType(
 HEAVY = ("content", "content_text", "page_text")
 
 
-def scan(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """The web table without its heavy columns, or just the named ones; filters reach the files."""
+def scan(spark: SparkSession, path: str, columns: list[str] | None = None, crawl_id: str | None = None) -> DataFrame:
+    """The web table without its heavy columns, or just the named ones; filters reach the files.
+
+    ``crawl_id`` picks one crawl of a table that is partitioned by it.
+    """
     table = spark.read.parquet(path)
+    if crawl_id is not None:
+        table = table.where(F.col("crawl_id") == crawl_id)
     return table.select(*columns) if columns else table.drop(*HEAVY)
 
 

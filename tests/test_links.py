@@ -140,6 +140,22 @@ def test_insert_absent(spark):
     assert sorted(map(tuple, L.insert_absent(table, rows, overwrite=True).collect())) == [("a", 1), ("b", 2), ("c", 2)]
 
 
+def test_extract_links_can_ignore_external_ones(spark):
+    from crawlspark.operators.domains import DOMAIN
+    from crawlspark.plans.jobs import extract_links
+
+    html = '<a href="/in/page">internal</a><a href="http://b.a.com/x">sibling</a><a href="http://other.com/x">external</a>'
+    pages = spark.createDataFrame([(1, "http://www.a.com/", html)], "id int, url string, html string")
+    suffixes = spark.createDataFrame([("com",)], "domain string")
+
+    def codes_of(**kw):
+        return [r.code for r in extract_links(pages, ["id"], **kw).orderBy("tag_pos").collect()]
+
+    assert codes_of() == [0, 0, 0]
+    assert codes_of(ignore_external=True) == [0, 108, 108]
+    assert codes_of(ignore_external=True, mode=DOMAIN, suffixes=suffixes) == [0, 0, 108]
+
+
 @pytest.mark.parametrize("rows_per_bucket", [1_000_000, 3])
 def test_index_lists(spark, rows_per_bucket):
     old = spark.createDataFrame([("p", u, i) for i, u in enumerate("abcdc")], "page string, to_url string, pos int")

@@ -222,6 +222,14 @@ def test_conform_and_scan(spark, tmp_path):
     assert R.candidates(seen, NOW).count() == 2
 
 
+def test_scan_of_one_crawl(spark, tmp_path):
+    two = conform(webdb(spark)).withColumn("crawl_id", F.when(F.col("url") < "http://c", F.lit("x")).otherwise("y"))
+    two.write.partitionBy("crawl_id").parquet(str(tmp_path / "w"))
+    one = scan(spark, str(tmp_path / "w"), ["url"], crawl_id="x")
+    assert urls(one) == list("ab")
+    assert "crawl_id" in one._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_index_mapping_xml(spark, tmp_path):
     (tmp_path / "m.xml").write_text(
         '<mapping><fields><field name="id" type="string" indexed="true" stored="true" required="true" multiValued="false"/>'
@@ -325,6 +333,16 @@ def test_counters(spark):
     assert got == {"rRows": 3, "rFetched": 2, "rIndexed": 2, "rPersist": 2, "rOutlinks": 3}
 
 
+def test_observed_counters_cost_no_pass(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    table = K.observe_generate(webdb(spark), NOW, seen)
+    assert R.candidates(table, NOW).count() == 2
+    want = {r["name"]: r["value"] for r in K.generate_counters(webdb(spark), NOW).collect()}
+    assert seen.get == want
+
+
 def test_histograms(spark):
     df = spark.createDataFrame([(d,) for d in (0, 0, 1, 3, 4, -1, None)], "distance int")
     assert {r.depth: r.n for r in K.depth_histogram(df).collect()} == {"0": 2, "1": 1, "3": 1, "N": 3}
