@@ -55,7 +55,7 @@ def crawl_rounds(
     for number, start in enumerate(starts, 1):
         if stop and stop():
             break
-        now = F.lit(start).cast("timestamp_ntz")
+        now = F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz")
         state = _current(base, deltas)
         batch = generate(state, now, f"{batch_prefix}{number}", top_n).drop("rank")
         fetched = write_snapshot(fetch(batch, log, archive, "url"), path("fetched", number))
