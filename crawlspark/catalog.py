@@ -90,12 +90,12 @@ def _key(url: str) -> str:
     return f"concat({_reverse(_host(url))}, ':', regexp_extract({url}, '^([A-Za-z]+)', 1), {rest})"
 
 
-def _text(html: str) -> str:
+def _text(html: str, decode: Callable[[str], str] | None = None) -> str:
     out = f"regexp_replace({html}, '(?s)<!--.*?-->', '', 'g')"
     out = f"regexp_replace({out}, '(?is)<script[^>]*>.*?</script\\s*>', '', 'g')"
     out = f"regexp_replace({out}, '(?is)<style[^>]*>.*?</style\\s*>', '', 'g')"
     out = f"regexp_replace({out}, '(?s)<[!/?A-Za-z][^>]*>', ' ', 'g')"
-    out = _decode(out)
+    out = (decode or _decode)(out)
     return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
 
 
@@ -105,6 +105,13 @@ def _decode(text: str) -> str:
     return text
 
 
+def _decode_standard(text: str) -> str:
+    """References as the HTML standard reads them in text: these may lack their semicolon."""
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{name};?', '{char}', 'g')"
+    return text
+
+
 def _file(url: str) -> str:
     return f"regexp_extract({url}, '^[A-Za-z]+://[^/?#]*([^#]*)', 1)"
 
@@ -1158,7 +1165,7 @@ def page_text(fx: Fixture) -> DataFrame:
     return P.page_text(fx.table("pages")).select("page_id", "text")
 
 
-@query("page_text_tolerant", f"select page_id, {_text('html')} as text from pages")
+@query("page_text_tolerant", f"select page_id, {_text('html', _decode_standard)} as text from pages")
 def page_text_tolerant(fx: Fixture) -> DataFrame:
     return T.page_text_tolerant(fx.table("pages"), "page_id").select("page_id", "text")
 
