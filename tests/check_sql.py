@@ -26,14 +26,15 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def compare(spark, con, name: str, sf_dir: str) -> str:
+def compare(spark, con, name: str, sf_dir: str, queries=None, oracles=None) -> str:
     """``''`` when names, types and the multiset of rows agree, else what differs."""
-    df = catalog.run(name)(spark, sf_dir)
+    oracles = catalog.ORACLES if oracles is None else oracles
+    df = (catalog.run(name) if queries is None else queries[name])(spark, sf_dir)
     cols = sorted(df.columns)
     got = sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
-    if name not in catalog.ORACLES:
+    if name not in oracles:
         return ""
-    rel = con.sql(catalog.ORACLES[name])
+    rel = con.sql(oracles[name])
     if sorted(rel.columns) != cols:
         return f"columns {cols} / {sorted(rel.columns)}"
     kinds = dict(zip(rel.columns, map(str, rel.types)))
