@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from crawlspark.llm import mixing
+from crawlspark.llm import mixing, packing
 
 QUERIES = {
+    "op7_packing": packing.op7_packing,
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLES = {
