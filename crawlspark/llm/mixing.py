@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlspark.llm.common import saved, table, word_count
+from crawlspark.operators.lookup import lookup_join
 from crawlspark.operators.ranking import rank_rows
 
 WEIGHTS, MAX_EPOCHS, SEED = (1, 2, 3), 3, 17
@@ -110,12 +111,16 @@ def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
 def takes(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """A row per document: doc_id, source, size, source_size, target, repeats."""
     rows = saved(sized(docs, seed), "mix-sized")
-    return _repeats(rows, plan(rows, weights, max_epochs)).select("doc_id", "_m.source", "size", "source_size", "target", "repeats")
+    sources = saved(plan(rows, weights, max_epochs), "mix-plan")
+    return _repeats(rows, sources).select("doc_id", "source", "size", "source_size", "target", "repeats")
 
 
 def _repeats(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    joined = rows.alias("_m").join(sources.alias("_s"), F.col("_m.source").eqNullSafe(F.col("_s.source")))
-    return joined.withColumn("repeats", F.col("whole") + (F.col("_m.key") <= F.col("border")).cast("bigint"))
+    """Rows with what their source decided; the look-up broadcasts the sources or salts them, so no source is one task."""
+    source = F.col("source")
+    named = {"_null": source.isNull(), "_name": F.coalesce(source, F.lit(""))}
+    joined = lookup_join(rows.withColumns(named), sources.withColumns(named).drop("source"), list(named), "inner")
+    return joined.withColumn("repeats", F.col("whole") + (F.col("key") <= F.col("border")).cast("bigint"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:

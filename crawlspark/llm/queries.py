@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from crawlspark.llm import language, mixing, packing
+from crawlspark.llm import language, mixing, packing, simhash
 
 QUERIES = {
+    "op9_simhash": simhash.op9_simhash,
     "op8_language": language.op8_language,
     "op7_packing": packing.op7_packing,
     "op10_mixing": mixing.op10_mixing,
