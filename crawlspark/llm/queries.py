@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from crawlspark.llm import language, mixing, packing, simhash
+from crawlspark.llm import language, mixing, packing, simhash, warc
 
 QUERIES = {
+    "op6_warc": warc.op6_warc,
     "op9_simhash": simhash.op9_simhash,
     "op8_language": language.op8_language,
     "op7_packing": packing.op7_packing,
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLES = {
+    "op6_warc": warc.OP6_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }

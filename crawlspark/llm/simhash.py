@@ -187,7 +187,7 @@ def close_pairs(distinct: DataFrame) -> DataFrame:
                             full = pa.array(np.full(len(part), block + BLOCKS * path, np.int64))
                             yield pa.RecordBatch.from_arrays([full, pa.array(np.full(len(part), role)), pa.array(part.view(np.int64))], ["shard", "guest", "fp"])
 
-    def compare(key, shard: pa.Table) -> pa.Table:
+    def compare(key, shard):
         points = shard.column("fp").to_numpy().view(np.uint64)
         guest = shard.column("guest").to_numpy()
         found = Forest()
