@@ -162,7 +162,10 @@ class Record:
     def __init__(self, head: bytes, block):
         lines = re.sub(rb"\r\n[ \t]+", b" ", head).decode("utf-8", "replace").split("\r\n")[1:]
         self.headers = [(k.strip(), v.strip()) for k, _, v in (line.partition(":") for line in lines)]
-        self.block = block
+        self._block = block
+
+    def block(self) -> bytes:
+        return self._block(self.length())
 
     def length(self) -> int:
         return next(int(v) for k, v in self.headers if k.lower() == "content-length")
@@ -186,9 +189,9 @@ def blocks(file) -> Iterator[Record]:
         head = data[skip : data.index(b"\r\n\r\n", skip)]
         start = at + skip + len(head) + 4
 
-        def block(start=start) -> bytes:
+        def block(length: int, start=start) -> bytes:
             file.seek(start)
-            return file.read(record.length())
+            return file.read(length)
 
         record = Record(head, block)
         yield record
@@ -226,9 +229,9 @@ def members(file) -> Iterator[Record]:
                 parts.append(inflate.decompress(more))
             end[0] = position - len(inflate.unused_data)
 
-        def block(parts=parts) -> bytes:
+        def block(size: int, parts=parts, finish=finish) -> bytes:
             finish()
-            return b"".join(parts)[: record.length()]
+            return b"".join(parts)[:size]
 
         record = Record(head, block)
         yield record
