@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from crawlspark.llm import language, mixing, neighbors, packing, simhash, warc
+from crawlspark.llm import language, mixing, neighbors, packing, repeats, simhash, warc
 
 QUERIES = {
+    "op1_suffix_array": repeats.op1_suffix_array,
     "op5_embeddings": neighbors.op5_embeddings,
     "op6_warc": warc.op6_warc,
     "op9_simhash": simhash.op9_simhash,

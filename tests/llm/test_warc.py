@@ -86,7 +86,7 @@ def test_foreign_archive(spark, tmp_path):
     rows = W.records(spark, str(tmp_path)).collect()
     assert sorted((r["record_type"], bytes(r["payload"])) for r in rows) == sorted(2 * [("warcinfo", b"software: x"), ("response", b"body"), ("resource", b"\r\n" * 4000)])
     assert {r["headers"].get("X-Long") for r in rows} == {None, "a b"}
-    assert W.records(spark, str(tmp_path), "record_id string").where("record_type = 'resource'").count() == 2
+    assert W.records(spark, str(tmp_path), "record_id string, record_type string").where("record_type = 'resource'").count() == 2
 
 
 def test_empty(spark, tmp_path):
