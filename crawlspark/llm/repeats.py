@@ -166,9 +166,10 @@ def spans(docs: DataFrame) -> DataFrame:
     texts = _texts(docs, open_)
 
     def compare(batches):
-        rows = pa.Table.from_batches(batches)
-        if not rows.num_rows:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
             return
+        rows = pa.Table.from_batches(batches)
         first, last = rows.column("first").to_numpy(), rows.column("last").to_numpy()
         found = repeated_in([t.as_py() for t in rows.column("part")], (last - first + 1).tolist())
         out, row = [], []
