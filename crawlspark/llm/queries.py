@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from crawlspark.llm import language, mixing, neighbors, packing, repeats, simhash, warc
+from crawlspark.llm import chat, language, mixing, neighbors, packing, repeats, simhash, warc
 
 QUERIES = {
+    "op4_chat": chat.op4_chat,
     "op1_suffix_array": repeats.op1_suffix_array,
     "op5_embeddings": neighbors.op5_embeddings,
     "op6_warc": warc.op6_warc,
@@ -14,6 +15,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLES = {
+    "op4_chat": chat.OP4_SQL,
     "op6_warc": warc.OP6_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }
