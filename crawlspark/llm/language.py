@@ -262,12 +262,14 @@ class Scorer:
         return out
 
 
-def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], path: str | None = None) -> DataFrame:
-    """``docs`` (any columns, one of them text) with lang_pred and score, the probability of that language given the text."""
+def identify(
+    docs: DataFrame, model: tuple[list[str], np.ndarray], path: str | None = None, columns: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """``docs`` (any columns, one of them text) with two columns: the language, and its probability given the text."""
     path, (names, probability) = path or vocabulary_path(), model
     shared = docs.sparkSession.sparkContext.broadcast(probability)
-    inner = docs.drop("lang_pred", "score")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields), "lang_pred string", "score double"])
+    inner = docs.drop(*columns)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema.fields), f"{columns[0]} string", f"{columns[1]} double"])
 
     def run(batches):
         scorer = Scorer(path, shared.value)
@@ -286,7 +288,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], path: str | N
                 some = score[:, -1] > 0
                 found += [names[b] if s else "und" for b, s in zip(best, some)]
                 sure += np.where(some, share, 0.0).tolist()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(sure, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(sure, pa.float64())], [*batch.schema.names, *columns])
 
     return inner.mapInArrow(run, schema)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from crawlspark.llm import chat, language, mixing, neighbors, packing, repeats, simhash, warc
+from crawlspark.llm import chat, extract, language, mixing, neighbors, packing, repeats, search, simhash, warc
 
 QUERIES = {
+    "op2_extract": extract.op2_extract,
+    "op3_search": search.op3_search,
     "op4_chat": chat.op4_chat,
     "op1_suffix_array": repeats.op1_suffix_array,
     "op5_embeddings": neighbors.op5_embeddings,
@@ -15,6 +17,7 @@ QUERIES = {
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLES = {
+    "op3_search": search.OP3_SQL,
     "op4_chat": chat.OP4_SQL,
     "op6_warc": warc.OP6_SQL,
     "op10_mixing": mixing.OP10_SQL,
