@@ -153,9 +153,9 @@ def main_text(html: str | None) -> str:
     page = Page(html)
     n, tag, parent, words = len(page.tag), page.tag, page.parent, page.words
 
-    holds = [0] * n  # 1: an article element is inside, 2: a main element or first heading
+    holds = [0] * n  # bits: 1 an article element is inside, 2 a main element, 4 a first heading
     for i in range(n - 1, 0, -1):
-        own = 2 if tag[i] in ("main", "h1") or "role:main" in words[i] else 1 if tag[i] == "article" else 0
+        own = 2 if tag[i] == "main" or "role:main" in words[i] else 1 if tag[i] == "article" else 4 if tag[i] == "h1" else 0
         holds[parent[i]] |= holds[i] | own
     out, in_article = [False] * n, [False] * n
     for i in range(1, n):
@@ -262,9 +262,9 @@ def no_article(tag: str, words: set[str], holds: int, inside: bool) -> bool:
     if tag == "head":
         return True
     if tag in NO_ARTICLE or (tag == "header" and not inside) or any("role:" + r in words for r in NO_ROLES):
-        return not holds
+        return not holds & 3
     if words & COMMENTS:
-        return holds < 2
+        return not holds & 6
     if words & NO_WORDS or (words & {"header"} and not inside):
         return not holds and not (tag in PARAGRAPHS and words & GOOD)
     return False

@@ -61,7 +61,7 @@ def test_parts_inside_the_article():
 
 def test_siblings_are_kept():
     body = f"<div><div><h1>Title</h1></div><div>{paragraphs(4)}</div><div>{paragraphs(4)}</div><p>More {WORDS} And {WORDS}</p></div>"
-    assert main_text(page(body)) == f"{PROSE} {PROSE} More {WORDS} And {WORDS}"
+    assert main_text(page(body)) == f"Title {PROSE} {PROSE} More {WORDS} And {WORDS}"
 
 
 def test_text():
