@@ -96,7 +96,7 @@ class LeastBetween:
     """Least value between two places of an array, for many pairs at once."""
 
     def __init__(self, values: np.ndarray):
-        self.levels = [values]
+        self.levels = [values.astype(np.uint16 if values.max() < 1 << 16 else np.int64)]
         step = 1
         while 2 * step <= len(values):
             self.levels.append(np.minimum(self.levels[-1][:-step], self.levels[-1][step:]))
@@ -105,8 +105,8 @@ class LeastBetween:
     def __call__(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Least of values[low + 1 .. high], low < high."""
         out = np.empty(len(low), self.levels[0].dtype)
-        level = np.log2(high - low).astype(np.int64)
-        for k in np.unique(level):
+        level = np.log2(high - low).astype(np.int8)
+        for k in np.unique(level).tolist():
             some = np.flatnonzero(level == k)
             values = self.levels[k]
             out[some] = np.minimum(values[low[some] + 1], values[high[some] + 1 - (1 << k)])

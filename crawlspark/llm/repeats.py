@@ -20,6 +20,7 @@ read in blocks of windows; an empty table gives no rows; other columns are not r
 
 from __future__ import annotations
 
+import gc
 import hashlib
 
 import numpy as np
@@ -31,7 +32,7 @@ from crawlspark.llm.common import rows_of, saved, table
 
 LENGTH, GRAM = 400, 128
 BLOCK = 1 << 20  # windows of a text that are looked at together
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 HIGH = np.uint64(0xFFFFFFFF00000000)
 
@@ -94,13 +95,19 @@ def stretches(data: bytes, length: int = LENGTH, gram: int = GRAM):
         yield at + first, at + last, hashes[(least[first] & ~HIGH).astype(np.int64)]
 
 
-def key_of() -> dict[str, Column]:
-    """Tells documents apart without their texts; rows of one key are equal."""
-    return {"_mark": F.xxhash64("text"), "_size": F.coalesce(F.octet_length("text"), F.lit(0))}
+def mark() -> Column:
+    """With doc_id, tells documents apart without their texts; rows that agree in both are equal."""
+    return F.xxhash64("text")
+
+
+def both(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return first.astype(np.int64) << 32 | last
+
+
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """A row per stretch: doc_id, _mark, _size, first, last (window starts), owner and stretch hash."""
+    """A row per stretch: doc_id, _mark, at (first and last window start as one long), owner and stretch hash."""
 
     def run(batches):
         from xxhash import xxh3_64_intdigest
@@ -117,12 +124,12 @@ def occurrences(docs: DataFrame) -> DataFrame:
                         row += [start + i] * len(first)
                 if out:
                     first, last, owner, content = (np.concatenate(x) for x in zip(*out))
-                    keys = [batch.column(c).take(pa.array(row)) for c in ("doc_id", "_mark", "_size")]
-                    values = [pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(owner), pa.array(content)]
-                    yield pa.RecordBatch.from_arrays([*keys, *values], ["doc_id", "_mark", "_size", "first", "last", "owner", "content"])
+                    keys = [batch.column(c).take(pa.array(row)) for c in ("doc_id", "_mark")]
+                    values = [pa.array(both(first, last)), pa.array(owner), pa.array(content)]
+                    yield pa.RecordBatch.from_arrays([*keys, *values], ["doc_id", "_mark", "at", "owner", "content"])
 
-    schema = "doc_id bigint, _mark bigint, _size int, first int, last int, owner bigint, content bigint"
-    return docs.select("doc_id", "text").withColumns(key_of()).mapInArrow(run, schema)
+    schema = "doc_id bigint, _mark bigint, at bigint, owner bigint, content bigint"
+    return docs.select("doc_id", "text", mark().alias("_mark")).mapInArrow(run, schema)
 
 
 def repeated_in(texts: list[bytes], windows: list[int], length: int = LENGTH, memory: int | None = None) -> list[np.ndarray]:
@@ -150,19 +157,21 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """Repeated windows of ``docs`` as rows doc_id, _mark, _size, first, last (window starts); they may overlap."""
+    """Repeated windows of ``docs`` as rows doc_id, _mark, at (first and last window start); they may overlap."""
     docs = docs.select("doc_id", "text")
     every = saved(occurrences(docs), "repeats-stretches")
     twice = every.groupBy("owner").agg(F.count("*").alias("n")).where("n > 1").select("owner")
     some = saved(every.join(twice, "owner"), "repeats-shared")
-    place = F.struct("doc_id", "_mark", "_size", "first", "last")
-    kinds = saved(some.groupBy("owner", "content").agg(F.count("*").alias("n"), F.min(place).alias("at")), "repeats-kinds")
-    columns = ["doc_id", "_mark", "_size", "first", "last"]
+    release(some)
+    place = F.struct("doc_id", "_mark", "at")
+    kinds = saved(some.groupBy("owner", "content").agg(F.count("*").alias("n"), F.min(place).alias("place")), "repeats-kinds")
+    columns = ["doc_id", "_mark", "at"]
     whole = some.join(kinds.where("n > 1").select("owner", "content"), ["owner", "content"], "left_semi").select(*columns)
 
     mixed_owners = kinds.groupBy("owner").agg(F.count("*").alias("kinds")).where("kinds > 1").select("owner")
-    open_ = saved(kinds.join(mixed_owners, "owner").select("owner", (F.col("n") > 1).alias("whole"), "at.*"), "repeats-open")
-    size = open_.agg(F.sum(F.col("last") - F.col("first") + LENGTH)).first()[0] or 0
+    open_ = saved(kinds.join(mixed_owners, "owner").select("owner", (F.col("n") > 1).alias("whole"), "place.*"), "repeats-open")
+    release(some)
+    size = open_.agg(F.sum(F.col("at").bitwiseAND(0xFFFFFFFF) - F.shiftright("at", 32) + LENGTH)).first()[0] or 0
     texts = _texts(docs, open_)
 
     def compare(batches):
@@ -170,91 +179,93 @@ def spans(docs: DataFrame) -> DataFrame:
         if not batches:
             return
         rows = pa.Table.from_batches(batches)
-        first, last = rows.column("first").to_numpy(), rows.column("last").to_numpy()
+        at = rows.column("at").to_numpy()
+        first, last = at >> 32, at & 0xFFFFFFFF
         found = repeated_in([t.as_py() for t in rows.column("part")], (last - first + 1).tolist())
         out, row = [], []
         for i, (flags, whole) in enumerate(zip(found, rows.column("whole").to_pylist())):
             if not whole and flags.any():
                 a, b = runs(flags)
-                out.append((a + first[i], b + first[i]))
+                out.append(both(a + first[i], b + first[i]))
                 row += [i] * len(a)
         if out:
-            a, b = (np.concatenate(x) for x in zip(*out))
-            keys = [rows.column(c).take(pa.array(row)).combine_chunks() for c in ("doc_id", "_mark", "_size")]
-            yield pa.RecordBatch.from_arrays([*keys, pa.array(a, pa.int32()), pa.array(b, pa.int32())], columns)
+            keys = [rows.column(c).take(pa.array(row)).combine_chunks() for c in ("doc_id", "_mark")]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(np.concatenate(out))], columns)
 
     shards = texts.repartition(max(1, -(-int(size) // SHARD_BYTES)), "owner")
-    partly = shards.mapInArrow(compare, "doc_id bigint, _mark bigint, _size int, first int, last int")
+    partly = saved(shards.mapInArrow(compare, "doc_id bigint, _mark bigint, at bigint"), "repeats-partly")
+    release(partly)
     return whole.union(partly)
 
 
+def release(df: DataFrame) -> None:
+    """Let the driver drop what it no longer refers to: shuffle files of steps whose results are written go with it."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _with_texts(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     """Documents with the list of their key. The lists are hashed, the texts streamed past them, not sorted."""
-    right = lists.withColumnsRenamed({"doc_id": "_id", "_mark": "_m", "_size": "_s"}).hint("shuffle_hash")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")) & (F.col("_size") == F.col("_s"))
-    return docs.withColumns(key_of()).join(right, same, how).drop("_id", "_m", "_s")
+    right = lists.withColumnsRenamed({"doc_id": "_id", "_mark": "_m"}).hint("shuffle_hash")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m"))
+    return docs.withColumn("_mark", mark()).join(right, same, how).drop("_id", "_m")
 
 
 def _texts(docs: DataFrame, open_: DataFrame) -> DataFrame:
     """``open_`` with the bytes of each stretch as ``part``."""
-    lists = open_.groupBy("doc_id", "_mark", "_size").agg(F.collect_list(F.struct("owner", "whole", "first", "last")).alias("wanted"))
+    lists = open_.groupBy("doc_id", "_mark").agg(F.collect_list(F.struct("owner", "whole", "at")).alias("wanted"))
 
     def run(batches):
         for batch in batches:
-            for start, texts in rows_of(batch, "text", 256):
+            for start, texts in rows_of(batch, "text", 128):
                 row, kept, parts = [], [], []
                 for i, text in enumerate(texts):
                     data = text.encode()
                     for w in batch.column("wanted")[start + i].as_py():
                         row.append(start + i)
-                        kept.append((w["owner"], w["whole"], w["first"], w["last"]))
-                        parts.append(data[w["first"] : w["last"] + LENGTH])
+                        kept.append((w["owner"], w["whole"], w["at"]))
+                        parts.append(data[w["at"] >> 32 : (w["at"] & 0xFFFFFFFF) + LENGTH])
                 if row:
-                    keys = [batch.column(c).take(pa.array(row)) for c in ("doc_id", "_mark", "_size")]
-                    kinds = (pa.int64(), pa.bool_(), pa.int32(), pa.int32())
-                    rest = [pa.array(c, k) for c, k in zip(zip(*kept), kinds)]
-                    yield pa.RecordBatch.from_arrays([*rest, *keys, pa.array(parts, pa.binary())], ["owner", "whole", "first", "last", "doc_id", "_mark", "_size", "part"])
+                    keys = [batch.column(c).take(pa.array(row)) for c in ("doc_id", "_mark")]
+                    rest = [pa.array(c, k) for c, k in zip(zip(*kept), (pa.int64(), pa.bool_(), pa.int64()))]
+                    yield pa.RecordBatch.from_arrays([*rest, *keys, pa.array(parts, pa.binary())], ["owner", "whole", "at", "doc_id", "_mark", "part"])
 
-    schema = "owner bigint, whole boolean, first int, last int, doc_id bigint, _mark bigint, _size int, part binary"
+    schema = "owner bigint, whole boolean, at bigint, doc_id bigint, _mark bigint, part binary"
     # equal rows give their stretches twice, but these repeat as a whole anyway
-    found = _with_texts(docs, lists, "inner").select("doc_id", "_mark", "_size", "text", "wanted")
+    found = _with_texts(docs, lists, "inner").select("doc_id", "_mark", "text", "wanted")
     return found.mapInArrow(run, schema)
 
 
-def _merged(lists, data: bytes) -> list[tuple[int, int]]:
-    """Maximal removed runs (start, end) of a text, from window starts."""
+def merged(places: list[int] | None) -> list[tuple[int, int]]:
+    """Maximal removed runs (start, end) of a text, from first and last window starts."""
     out: list[tuple[int, int]] = []
-    for first, last in sorted((x["first"], x["last"]) for x in lists or ()):
+    for at in sorted(places or ()):
+        first, end = at >> 32, (at & 0xFFFFFFFF) + LENGTH
         if out and first <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], last + LENGTH))
+            out[-1] = (out[-1][0], max(out[-1][1], end))
         else:
-            out.append((first, last + LENGTH))
+            out.append((first, end))
     return out
 
 
-def _cut(docs: DataFrame, fields: str, one) -> DataFrame:
-    """``docs`` with columns from ``one(bytes, removed runs) -> tuple``; ``fields`` is their schema."""
+def _cut(docs: DataFrame, fields: dict[str, str], one) -> DataFrame:
+    """``docs`` without text, with columns from ``one(text, its bytes, removed runs)``; ``fields`` are their types."""
     found = saved(spans(docs), "repeats-spans")
-    lists = found.groupBy("doc_id", "_mark", "_size").agg(F.collect_set(F.struct("first", "last")).alias("_spans"))
-    joined = _with_texts(docs, lists, "left").drop("_mark", "_size")
-    kept = [c for c in joined.columns if c != "_spans"]
-    new = [f.split()[0] for f in fields.split(", ")]
-    inner = [c for c in kept if c not in new]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in inner), fields])
-    arrow = {"string": pa.string(), "bigint": pa.int64()}
-    kinds = [arrow[f.split()[1]] for f in fields.split(", ")]
+    release(found)
+    lists = found.groupBy("doc_id", "_mark").agg(F.collect_set("at").alias("_spans"))
+    joined = _with_texts(docs, lists, "left").drop("_mark")
+    inner = [c for c in docs.columns if c not in fields and c != "text"]
+    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in inner), *(f"{c} {k}" for c, k in fields.items())])
+    kinds = [{"string": pa.string(), "bigint": pa.int64()}[k] for k in fields.values()]
 
     def run(batches):
         for batch in batches:
-            for start, texts in rows_of(batch, "text", 256):
-                out = []
-                for i, text in enumerate(texts):
-                    data = (text or "").encode()
-                    out.append(one(text, data, _merged(batch.column("_spans")[start + i].as_py(), data)))
+            for start, texts in rows_of(batch, "text", 128):
+                places = batch.column("_spans").slice(start, len(texts)).to_pylist()
+                out = [one(t, (t or "").encode(), merged(p)) for t, p in zip(texts, places)]
                 part = batch.slice(start, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [*map(part.column, inner), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], [*inner, *new]
-                )
+                new = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
+                yield pa.RecordBatch.from_arrays([*map(part.column, inner), *new], [*inner, *fields])
 
     return joined.mapInArrow(run, schema)
 
@@ -270,8 +281,8 @@ def digests(docs: DataFrame) -> DataFrame:
         kept.update(data[at:])
         return len(data), sum(b - a for a, b in removed), len(removed), kept.hexdigest()
 
-    out = _cut(docs.select("doc_id", "text"), "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", one)
-    return out.drop("text")
+    fields = {"n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"}
+    return _cut(docs.select("doc_id", "text"), fields, one)
 
 
 def strip(docs: DataFrame) -> DataFrame:
@@ -293,7 +304,7 @@ def strip(docs: DataFrame) -> DataFrame:
         return (new, None if new is None else len(new)) if counted else (new,)
 
     counted = "n_chars" in docs.columns
-    return _cut(docs, "text string" + ", n_chars bigint" * counted, one).select(*docs.columns)
+    return _cut(docs, {"text": "string"} | ({"n_chars": "bigint"} if counted else {}), one).select(*docs.columns)
 
 
 def op1_suffix_array(spark, sf_dir: str) -> DataFrame:
