@@ -77,12 +77,6 @@ SUPPORTED = {
     "tis-620": "tis-620",
 }
 
-SNIFF_BYTES = 2000
-_EQUIV = r"""(?i)<meta\s+([^>]*http-equiv=["']?content-type["']?[^>]*)>"""
-_CHARSET = r"(?i)charset=\s*([a-z][_\-0-9a-z]*)"
-_HTML5 = r"""(?i)<meta\s+charset\s*=\s*["']?([a-z][_\-0-9a-z]*)[^>]*>"""
-
-
 def canonical_charset(name: Column) -> Column:
     """Reported name of a supported charset, null for anything else."""
     table = F.str_to_map(F.lit(";".join(f"{k}={v}" for k, v in SUPPORTED.items())), F.lit(";"), F.lit("="))
@@ -95,20 +89,33 @@ def header_charset(content_type: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(raw, r'^"(.+)"$', "$1")), F.lit(""))
 
 
-def sniffed_charset(content: Column) -> Column:
-    """Charset named in the first 2000 bytes, else by the byte order mark (``content`` is binary)."""
-    ascii_view = F.decode(F.substring(content, 1, SNIFF_BYTES), "ISO-8859-1")
-    equiv = F.regexp_extract(F.regexp_extract(ascii_view, _EQUIV, 1), _CHARSET, 1)
-    html5 = F.regexp_extract(ascii_view, _HTML5, 1)
+def meta_charset(metas: Column) -> Column:
+    """Charset of the first content type among parsed meta tags, else of the first ``charset`` attribute."""
+    types = F.filter(metas, lambda m: (m["equiv"] == "content-type") & m["content"].isNotNull())
+    declared = header_charset(F.lower(F.get(types, F.lit(0))["content"]))
+    named = F.trim(F.get(F.filter(metas, lambda m: m["charset"].isNotNull()), F.lit(0))["charset"])
+    return F.coalesce(declared, F.nullif(named, F.lit("")))
+
+
+def mark_charset(content: Column) -> Column:
+    """Charset named by the byte order mark of binary content."""
     mark = F.hex(F.substring(content, 1, 3))
-    bom = (
+    return (
         F.when(mark == "EFBBBF", F.lit("UTF-8"))
         .when(mark.startswith("FFFE"), F.lit("UTF-16LE"))
         .when(mark.startswith("FEFF"), F.lit("UTF-16BE"))
     )
-    return F.coalesce(F.nullif(equiv, F.lit("")), F.nullif(html5, F.lit("")), bom)
 
 
-def head_bytes(html: Column) -> Column:
-    """The bytes :func:`sniffed_charset` needs, of a page kept as text: its first characters only."""
-    return F.encode(F.substring(html, 1, SNIFF_BYTES), "UTF-8")
+def decode(content: Column, charset: Column) -> Column:
+    """Text of binary content in a charset named as in SUPPORTED, without a byte order mark.
+
+    Malformed bytes become U+FFFD; null where the JDK has no such charset. The two usual sets are built-in
+    expressions; the others are percent-encoded for the JDK's decoder.
+    """
+    codes = [n for n in range(128, 160) if n not in (129, 141, 143, 144, 157)]
+    western = F.translate(F.decode(content, "ISO-8859-1"), "".join(map(chr, codes)), bytes(codes).decode("cp1252"))
+    percent = F.regexp_replace(F.hex(content), "(..)", "%$1")
+    other = F.try_reflect(F.lit("java.net.URLDecoder"), F.lit("decode"), percent, charset)
+    text = F.when(charset == "utf-8", F.make_valid_utf8(content.cast("string"))).when(charset == DEFAULT_CHARSET, western).otherwise(other)
+    return F.regexp_replace(text, "^\ufeff", "")

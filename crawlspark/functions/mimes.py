@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from crawlspark.functions.let import let
+
 OCTET_STREAM = "application/octet-stream"
 PLAIN_TEXT = "text/plain"
 
@@ -83,12 +85,20 @@ def resolve_type(declared: Column, url: Column, content: Column) -> Column:
 
 
 def by_content(content: Column) -> Column:
-    """Type named by the first bytes, null when they say nothing."""
-    start = F.lower(F.ltrim(F.decode(F.substring(content, 1, 64), "ISO-8859-1")))
+    """Type named by the start of the content, null when it says nothing.
+
+    A byte order mark, white space and comments before the first markup don't count, however long they are.
+    """
+    text = F.regexp_replace(F.decode(content, "ISO-8859-1"), r"(?s)^(?:\xEF\xBB\xBF|\s++|<!--.*?-->)*+", "")
     code = F.hex(F.substring(content, 1, 4))
-    chain = F
-    for prefix, mime in BY_TEXT_PREFIX.items():
-        chain = chain.when(start.startswith(prefix), F.lit(mime))
-    for prefix, mime in BY_HEX_PREFIX.items():
-        chain = chain.when(code.startswith(prefix), F.lit(mime))
-    return chain
+
+    def named(start: Column) -> Column:
+        chain = F
+        for prefix, mime in BY_TEXT_PREFIX.items():
+            chain = chain.when(start.startswith(prefix), F.lit(mime))
+        for prefix, mime in BY_HEX_PREFIX.items():
+            chain = chain.when(code.startswith(prefix), F.lit(mime))
+        return chain
+
+    longest = max(map(len, BY_TEXT_PREFIX))
+    return let(F.lower(F.substring(text, 1, longest)), named)

@@ -64,13 +64,17 @@ def add_if_absent(fields: DataFrame) -> DataFrame:
 
 
 def add_values(fields: DataFrame, skip_null: bool = False, skip_empty: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Every value of a field in writing order, numbered from 0."""
+    """Every value of a field in writing order, numbered from 0; writes of one rank are ordered by their value's hash.
+
+    Texts stay in their rows: they are no sort key.
+    """
     kept = fields
     if skip_null or skip_empty:
         kept = kept.where("value is not null")
     if skip_empty:
         kept = kept.where("value <> ''")
-    order = [("rnk", F.col("rnk")), ("value", F.coalesce("value", F.lit("")))]
+    value = F.coalesce("value", F.lit(""))
+    order = [("rnk", F.col("rnk")), ("mix", F.xxhash64(value)), ("md5", F.md5(F.encode(value, "UTF-8")))]
     numbered = rank_rows(kept, ["id", "field"], order, "pos", rows_per_bucket=rows_per_bucket)
     return numbered.withColumn("pos", (F.col("pos") - 1).cast("int"))
 

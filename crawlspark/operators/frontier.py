@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.operators.domains import HOST, with_partition
-from crawlspark.operators.ranking import rank_rows, top_per_key, top_rows
+from crawlspark.operators.ranking import rank_rows, top_rows
 
 # The mark of a retired page and the name that selects every batch.
 YES = "Y"
@@ -69,15 +69,17 @@ def priority_order(df: DataFrame, run_seed: int = 0, name: str = "rank") -> Data
     )
 
 
-def generate_topn(df: DataFrame, now: Column, n: int) -> DataFrame:
-    """The first ``n`` candidates by url with their ranks (the score is the same for all)."""
+def generate_topn(df: DataFrame, now: Column, n: int | None) -> DataFrame:
+    """The first ``n`` candidates by url, or all, with their ranks (the score is the same for all)."""
+    if n is None:
+        return rank_rows(candidates(df, now), [], _selector(score=False))
     return top_rows(candidates(df, now), _selector(score=False), n)
 
 
 def generate_per_partition(df: DataFrame, now: Column, n: int, partitions: int, mode: str = HOST, run_seed: int = 0, suffixes: DataFrame | None = None) -> DataFrame:
     """Each partition's first ``n / partitions`` candidates (whole division; may be none)."""
     chosen = with_partition(candidates(df, now), F.col("url"), partitions, mode, run_seed, suffixes)
-    return top_per_key(chosen, ["part"], _selector(score=False), n // partitions)
+    return rank_rows(chosen, ["part"], _selector(score=False), limit=n // partitions)
 
 
 def mark_generated(df: DataFrame, now: Column, batch_id: str) -> DataFrame:

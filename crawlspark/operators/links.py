@@ -12,6 +12,7 @@ from crawlspark.functions import options as O
 from crawlspark.functions import urls as U
 from crawlspark.functions.let import let
 from crawlspark.operators.domains import HOST, with_group
+from crawlspark.operators.pages import base_href
 
 # Tag -> attribute that holds its target; form is off unless asked for.
 LINK_TARGETS = {
@@ -27,7 +28,7 @@ LINK_TARGETS = {
 MAX_URL_LENGTH = 1024
 NEW_PAGE_INTERVAL_S = 1200
 
-_OPENING = r"(?i)<(?:a|area|form|frame|iframe|script|link|img)(?=[\s/>])[^>]*>"
+_OPENING = rf"(?i)<(?:a|area|form|frame|iframe|script|link|img)(?=[\s/>]){H.INNER}>"
 # a piece starts where an anchor or form opens or closes
 _EDGE = r"(?i)(?=<(?:(?:a|form)[\s/>]|/(?:a|form)\s*>))"
 
@@ -35,30 +36,39 @@ _EDGE = r"(?i)(?=<(?:(?:a|form)[\s/>]|/(?:a|form)\s*>))"
 def raw_links(pages: DataFrame, key: list[str], html: str = "html", base: str | None = None) -> DataFrame:
     """Every link tag with its position, text, and the attributes the follow rules need.
 
-    Text of a container link ends at its closing tag or at the next anchor. With ``base`` (a column
-    of base parts) ``to_url`` is added. A page's links are built as one array and exploded last, so
+    An anchor's text ends at its closing tag or at the next anchor, a form's at its closing tag or at
+    its second anchor. With ``base`` (a column of base parts) ``to_url`` is added. A page's links are built as one array and exploded last, so
     filters on them are evaluated on plain values.
     """
     cut = pages.select(*key, *([base] if base and base not in key else []), F.split(H.hollow(F.col(html)), _EDGE).alias("_pieces"))
     links = F.flatten(
-        F.transform("_pieces", lambda p, i: _links_of(p, F.get("_pieces", i + 1), F.col(base) if base else None))
+        F.transform("_pieces", lambda p, i: _links_of(p, F.get("_pieces", i + 1), _form_text(p, F.col("_pieces"), i), F.col(base) if base else None))
     )
     return cut.select(*key, F.posexplode(links).alias("tag_pos", "_l")).select(*key, "tag_pos", "_l.*")
 
 
-def _links_of(piece: Column, following: Column, base: Column | None) -> Column:
+def _form_text(piece: Column, pieces: Column, i: Column) -> Column:
+    """Markup of a form up to its end or its second anchor; null for other pieces."""
+    rest = F.array_join(F.slice(pieces, i + 1, F.size(pieces)), "")
+    inside = F.get(F.split(rest, r"(?i)</form\s*>", 2), F.lit(0))
+    parts = F.split(inside, r"(?i)(?=<a[\s/>])", 3)
+    upto = F.concat(F.get(parts, F.lit(0)), F.coalesce(F.get(parts, F.lit(1)), F.lit("")))
+    return F.when(piece.rlike(r"(?i)^<form[\s/>]"), upto)
+
+
+def _links_of(piece: Column, following: Column, form: Column, base: Column | None) -> Column:
     def link(t: Column, i: Column) -> Column:
         view = F.struct(
             F.lower(F.regexp_extract(t, "^<([A-Za-z]+)", 1)).alias("tag"),
             H.attr_arrays(F.regexp_replace(t, "^<[A-Za-z]+", "")).alias("a"),
             (i == 0).alias("first"),
         )
-        return let(view, lambda v: _link(v, piece, following, base))
+        return let(view, lambda v: _link(v, piece, following, form, base))
 
     return F.transform(F.regexp_extract_all(piece, F.lit(_OPENING), 0), link)
 
 
-def _link(v: Column, piece: Column, following: Column, base: Column | None) -> Column:
+def _link(v: Column, piece: Column, following: Column, form: Column, base: Column | None) -> Column:
     def attr(name: str) -> Column:
         return H.pick_attr(v["a"]["names"], v["a"]["values"], name)
 
@@ -72,7 +82,7 @@ def _link(v: Column, piece: Column, following: Column, base: Column | None) -> C
         fields = [
             v["tag"].alias("tag"),
             goal.alias("target"),
-            F.when(container, H.readable(H.drop_tags(piece))).otherwise("").alias("anchor"),
+            F.when(container, H.readable(H.drop_tags(F.coalesce(form, piece)))).otherwise("").alias("anchor"),
             attr("rel").alias("rel"),
             attr("method").alias("method"),
             (container & _empty(piece, following)).alias("empty_container"),
@@ -81,15 +91,15 @@ def _link(v: Column, piece: Column, following: Column, base: Column | None) -> C
             fields.append(U.resolve(base, goal).alias("to_url"))
         return F.struct(*fields)
 
-    return let(H.decode_entities(target), built)
+    return let(H.decode_entities(target, attribute=True), built)
 
 
 def _empty(piece: Column, following: Column) -> Column:
     """Whether an opening tag holds nothing, or only a nested tag of its own name."""
     name = F.lower(F.regexp_extract(piece, r"^<([A-Za-z]+)", 1))
     nested = F.lower(F.regexp_extract(following, r"^<([A-Za-z]+)", 1)) == name
-    bare = piece.rlike(r"^<[^>]*>$") & following.startswith("</")
-    return F.coalesce(bare | (nested & piece.rlike(r"^<[^>]*>\s*$")), F.lit(False))
+    bare = piece.rlike(rf"^<{H.INNER}>\z") & following.startswith("</")
+    return F.coalesce(bare | (nested & piece.rlike(rf"^<{H.INNER}>\s*\z")), F.lit(False))
 
 
 def follow_rules(links: DataFrame, ignore_tags: tuple[str, ...] = ("form",)) -> DataFrame:
@@ -104,9 +114,13 @@ def follow_rules(links: DataFrame, ignore_tags: tuple[str, ...] = ("form",)) ->
     return links.where(keep)
 
 
+def _with_base(pages: DataFrame, url: str, html: str) -> DataFrame:
+    return base_href(pages, url, html, "_base_url", relative=True).withColumn("_base", U.base_parts(F.col("_base_url"))).drop("_base_url")
+
+
 def extract_outlinks(pages: DataFrame, key: list[str], url: str = "url", html: str = "html", ignore_tags: tuple[str, ...] = ("form",)) -> DataFrame:
-    """Followed links with resolved targets; targets that do not resolve are left out."""
-    based = pages.withColumn("_base", U.base_parts(F.col(url)))
+    """Followed links with targets resolved against the page's base href; those that do not resolve are left out."""
+    based = _with_base(pages, url, html)
     found = follow_rules(raw_links(based, key, html, "_base"), ignore_tags)
     return found.where("to_url is not null").drop("empty_container")
 
@@ -186,7 +200,7 @@ def mark_same_host(links: DataFrame, source: str, target: str, mode: str = HOST,
 
 def seed_anchors(pages: DataFrame, key: list[str], url: str = "url", html: str = "html", resolve: bool = True) -> DataFrame:
     """Anchors of seed pages as (href, to_url, anchor); ``resolve=False`` keeps the raw href as target."""
-    seeds = pages.where("is_seed").withColumn("_base", U.base_parts(F.col(url)))
+    seeds = _with_base(pages.where("is_seed"), url, html)
     found = raw_links(seeds, key, html, "_base").where((F.col("tag") == "a") & F.col("target").isNotNull())
     to_url = F.col("to_url") if resolve else F.col("target")
     return found.select(*key, "tag_pos", F.col("target").alias("href"), to_url.alias("to_url"), "anchor")

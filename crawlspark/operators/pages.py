@@ -82,7 +82,9 @@ def robots_meta(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     # a refresh whose time is no number is none; the last good one counts
     refreshes = F.filter(
         "_m",
-        lambda m: (m["equiv"] == "refresh") & F.substring_index(m["content"], ";", 1).rlike("^[+-]?[0-9]{1,9}$"),
+        lambda m: (m["equiv"] == "refresh")
+        & F.substring_index(m["content"], ";", 1).rlike("^[+-]?[0-9]+$")
+        & F.substring_index(m["content"], ";", 1).try_cast("int").isNotNull(),
     )
     out = out.withColumn("_r", F.get(refreshes, F.size(refreshes) - 1)["content"])
     after = F.when(
@@ -106,7 +108,7 @@ def base_href(pages: DataFrame, url: str = "url", html: str = "html", name: str
 
     ``relative=True`` resolves each base against the page url and takes the last one.
     """
-    tags = F.regexp_extract_all("_head", F.lit(r"(?is)<base\b([^>]*)>"), 1)
+    tags = F.regexp_extract_all("_head", F.lit(rf"(?is)<base\b({H.INNER})>"), 1)
     out = with_head(pages, html).withColumns({"_hrefs": F.transform(tags, lambda a: H.attr(a, "href")), "_base": U.base_parts(F.col(url))})
     if relative:
         good = F.filter(F.transform("_hrefs", lambda h: U.resolve(F.col("_base"), h)), lambda h: h.isNotNull())
@@ -119,14 +121,14 @@ def base_href(pages: DataFrame, url: str = "url", html: str = "html", name: str
 def charset_clues(pages: DataFrame, content: Column, header: Column) -> DataFrame:
     """Add the usable clues ``header_clue`` and ``sniffed_clue``; unsupported names are null.
 
-    An unsupported sniffed name is dropped, it does not fall through to the byte order mark.
+    ``content`` is binary. Its clue is the charset of the first http-equiv content type of the head, else the first
+    ``charset`` attribute of a meta tag, else the byte order mark. An unsupported name is dropped, it does not fall through.
     """
-    return pages.withColumns(
-        {
-            "header_clue": C.canonical_charset(C.header_charset(header)),
-            "sniffed_clue": C.canonical_charset(C.sniffed_charset(content)),
-        }
-    )
+    metas = H.metas_of(H.head_of(F.decode(content, "ISO-8859-1")))
+    found = pages.withColumns({"_metas": metas, "_mark": C.mark_charset(content)})
+    sniffed = F.coalesce(C.meta_charset(F.col("_metas")), F.col("_mark"))
+    out = found.withColumns({"header_clue": C.canonical_charset(C.header_charset(header)), "sniffed_clue": C.canonical_charset(sniffed)})
+    return out.drop("_metas", "_mark")
 
 
 def charset_resolution(pages: DataFrame, content: Column, header: Column, name: str = "charset", default: str = C.DEFAULT_CHARSET) -> DataFrame:
@@ -144,19 +146,27 @@ def mime_resolution(pages: DataFrame, declared: Column, url: Column, content: Co
     return pages.withColumn(name, M.resolve_type(declared, url, content))
 
 
-def main_content(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Add content_title, content_text and its length of pages that mark their article.
+def decoded(pages: DataFrame, content: Column, charset: Column, name: str = "html") -> DataFrame:
+    """Add the text of binary ``content`` in a resolved charset."""
+    return pages.withColumn(name, C.decode(content, charset))
+
 
-    The title is the article's first heading, else the page title. Pages without an article get
-    null and belong to the tolerant tier.
+def main_content(pages: DataFrame, html: str = "html", min_words: int = 10, max_link_share: float = 0.33) -> DataFrame:
+    """Add content_title, content_text and its length.
+
+    The text is that of the articles the page marks. Of other pages it is the text blocks with at least ``min_words`` words
+    of which at most ``max_link_share`` are in links, and if there are none, all visible text of the body. The title is the first
+    heading of that, else of the page, else the page title. A null page has nulls.
     """
     cut = with_head(pages, html).withColumn("_article", F.nullif(H.article_html(F.col(html)), F.lit("")))
-    first_heading = F.regexp_extract("_article", r"(?is)<h1\b[^>]*>(.*?)</h1\s*>", 1)
+    prose = F.nullif(H.prose_html(F.col(html), min_words, max_link_share), F.lit(""))
+    cut = cut.withColumn("_main", F.coalesce("_article", prose, H.body_of(F.col(html))))
+    heading = rf"(?is)<h1(?=[\s/>]){H.INNER}>(.*?)(?:</h1\s*>|\z)"
     bare = cut.withColumns(
         {
-            "_heading": H.drop_tags(first_heading),
+            "_heading": H.drop_tags(F.regexp_extract(F.coalesce("_article", H.body_of(F.col(html))), heading, 1)),
             "_title": H.bare_title(F.col("_head")),
-            "_text": H.drop_tags(F.col("_article")),
+            "_text": H.drop_tags(F.col("_main")),
         }
     )
     out = bare.withColumns(
@@ -165,7 +175,27 @@ def main_content(pages: DataFrame, html: str = "html") -> DataFrame:
             "content_text": H.readable(F.col("_text")),
         }
     ).withColumn("content_text_length", F.length("content_text"))
-    return _without(out, pages, "_article", "_heading", "_title", "_text", "_head")
+    return _without(out, pages, "_article", "_main", "_heading", "_title", "_text", "_head")
+
+
+def page_times(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Add publish_time, modified_time (text of the head's ``article:`` properties, publish time else of the first
+    ``<time datetime>``) and page_category (``article:section``, else the keywords' first)."""
+    found = with_head(pages, html).withColumn("_m", H.metas_of(F.col("_head")))
+
+    def first(name: str) -> Column:
+        return F.get(F.filter("_m", lambda m: (m["property"] == name) & m["content"].isNotNull()), F.lit(0))["content"]
+
+    keywords = F.get(F.filter("_m", lambda m: (m["name"] == "keywords") & m["content"].isNotNull()), F.lit(0))["content"]
+    stamp = H.attr(F.regexp_extract(H.strip_hidden(F.col(html)), rf"(?is)<time(?=[\s])({H.INNER})>", 1), "datetime")
+    out = found.withColumns(
+        {
+            "publish_time": F.coalesce(first("article:published_time"), stamp),
+            "modified_time": first("article:modified_time"),
+            "page_category": F.coalesce(first("article:section"), F.nullif(F.trim(F.substring_index(keywords, ",", 1)), F.lit(""))),
+        }
+    )
+    return _without(out, pages, "_m", "_head")
 
 
 def indexable(pages: DataFrame) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 8192
 SAMPLES_PER_BUCKET = 24
 SMALL_TOP = 10_000
 
@@ -55,13 +54,13 @@ def rank_rows(
     )
     bucketed = typed.withColumn("_b", _bucket(F.struct(*sort_cols), literal, len(bounds)))
 
-    # only keys that meet a bound can reach past their first bucket
-    cut_keys = [list(k) for k in {tuple(b[: len(keys)]) for b in bounds}]
+    # a key reaches past a bucket only if it is the key of the bound above or below that bucket
     spanning = bucketed
     if keys:
-        key_type = "array<struct<" + ",".join(f"`{c}`:{fields[c]}" for c in keys) + ">>"
-        cuts = F.from_json(F.lit(json.dumps([dict(zip(keys, k)) for k in cut_keys])), key_type)
-        spanning = bucketed.where(F.array_contains(cuts, F.struct(*keys)))
+        own = F.struct(*keys)
+        above, below = F.get(literal, F.col("_b")), F.get(literal, F.col("_b") - 1)
+        meets = [F.struct(*[bound[c].alias(c) for c in keys]) == own for bound in (above, below)]
+        spanning = bucketed.where(F.coalesce(meets[0], F.lit(False)) | F.coalesce(meets[1], F.lit(False)))
     counts = spanning.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = by_key.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     # at most one key per bucket continues from the bucket before: no more rows than buckets
@@ -89,25 +88,15 @@ def top_rows(df: DataFrame, order: Order, n: int, name: str = "rank", rows_per_b
     return rank_rows(df, [], order, name, limit=n, rows_per_bucket=rows_per_bucket)
 
 
-def top_per_key(df: DataFrame, keys: Sequence[str], order: Order, n: int, name: str = "rank", salts: int = 32) -> DataFrame:
-    """The first ``n`` rows of each key; hot keys are cut in ``salts`` parts before they meet."""
-    columns = [column for _, column in order]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(salts)))
-    part = Window.partitionBy(*keys, "_salt").orderBy(*columns)
-    cut = salted.withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= n).drop("_r", "_salt")
-    whole = Window.partitionBy(*keys).orderBy(*columns)
-    return cut.withColumn(name, F.row_number().over(whole).cast("bigint")).where(F.col(name) <= n)
-
-
 def _bounds(rows: DataFrame, rows_per_bucket: int) -> list[list]:
     """Sorted, distinct bucket bounds; none when one bucket is enough."""
     total = rows.count()
-    buckets = min(MAX_BUCKETS, -(-total // rows_per_bucket))
+    buckets = -(-total // rows_per_bucket)
     if buckets <= 1:
         return []
     wanted = buckets * SAMPLES_PER_BUCKET
     fraction = min(1.0, wanted / total)
-    sample = rows.sample(withReplacement=False, fraction=fraction, seed=17).limit(2 * wanted)
+    sample = rows.sample(withReplacement=False, fraction=fraction, seed=17)
     picked = sorted(list(r) for r in sample.collect())
     step = max(1, len(picked) // buckets)
     bounds: list[list] = []

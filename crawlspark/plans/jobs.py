@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.functions import urls as U
-from crawlspark.functions.charsets import head_bytes
 from crawlspark.functions.options import default_options
 from crawlspark.operators import counters as K
 from crawlspark.operators import docs as D
@@ -41,8 +40,8 @@ def index_seeds(old: DataFrame, lines: DataFrame, page_no: int = 1, home: str =
     return add_links(old, seeds)
 
 
-def generate(table: DataFrame, now: Column, batch_id: str, top_n: int) -> DataFrame:
-    """The next batch: the first ``top_n`` due pages, marked, with their rank."""
+def generate(table: DataFrame, now: Column, batch_id: str, top_n: int | None = None) -> DataFrame:
+    """The next batch: the first ``top_n`` due pages, or all, marked, with their rank."""
     return R.mark_generated(R.generate_topn(table, now, top_n), now, batch_id)
 
 
@@ -76,21 +75,27 @@ def accepted_outlinks(fetched: DataFrame, key: str = "page_id", old: DataFrame |
     return L.outlink_codes(links, F.col("opts"), known=known).where("code = 0").select(key, "tag_pos", "to_url", "anchor")
 
 
-def index_fields(fetched: DataFrame, key: str = "key", html: str = "html", entities: list[dict[str, Column]] | None = None) -> DataFrame:
+def index_fields(
+    fetched: DataFrame, key: str = "key", html: str = "html", entities: list[dict[str, Column]] | None = None, max_length: int | None = None
+) -> DataFrame:
     """Index document fields of fetched pages: base fields, extracted content, then ``entities``.
 
-    One pass over the content: pages that robots keep out of the index only write base fields.
+    One pass over the content: pages that robots keep out of the index only write base fields. With ``max_length``
+    values of that many characters or more are left out.
     """
     ok = P.robots_meta(P.with_head(fetched.where("fetch_code = 0"), html), html=html)
     shown = ok.withColumns({html: F.when(~F.col("no_index"), F.col(html)), "_head": F.when(~F.col("no_index"), F.col("_head"))})
-    content = P.charset_resolution(P.main_content(shown, html), head_bytes(F.col(html)), F.lit(None).cast("string"))
+    content = P.charset_resolution(P.page_times(P.main_content(shown, html), html), F.encode(html, "UTF-8"), F.lit(None).cast("string"))
     extracted = {
         "title": F.col("content_title"),
         "text_content": F.col("content_text"),
         "text_content_length": F.col("content_text_length"),
         "encoding": F.when(~F.col("no_index"), F.col("charset")),
+        "page_category": F.col("page_category"),
+        "publish_time": F.col("publish_time"),
+        "modified_time": F.col("modified_time"),
     }
-    return D.page_fields(content, key, [D.base_entity(key), extracted, *(entities or [])], D.MAX_VALUE_LENGTH)
+    return D.page_fields(content, key, [D.base_entity(key), extracted, *(entities or [])], max_length)
 
 
 def fetch_index(
@@ -128,7 +133,7 @@ def extract_pages(
     ``parser`` is a caller's own step that adds ``title`` and ``text`` in place of the built-in one.
     """
     content_type = header if header is not None else F.lit(None).cast("string")
-    start = head_bytes(F.col(html))
+    start = F.encode(html, "UTF-8")
     parsed = parser(pages) if parser else P.page_title(P.with_head(P.page_text(pages, html), html), html)
     out = P.page_metadata(P.robots_meta(P.with_head(parsed, html), html=html), html)
     out = P.charset_resolution(out, start, content_type)

@@ -29,7 +29,7 @@ def crawl_rounds(
     log: DataFrame,
     archive: DataFrame,
     starts: list[dt.datetime],
-    top_n: int,
+    top_n: int | None,
     mapping: DataFrame | None = None,
     batch_prefix: str = "b",
     folder: str | None = None,

@@ -8,9 +8,10 @@ from crawlspark.plans import jobs as J
 from crawlspark.sources.text import read_seed_lines
 
 X = F.col("x")
+# -fu and -fa are no options, so they are reported
 SAMPLE = (
-    "http://s.example/n/\t-i pt1s -p 1010 -d 1 -fd body -fu .+ -fa 8,40 -e article -ed body "
-    "-Ftitle=#title -Fcontent=#content%p -c comments -cd #comments -ci .comment -FFauthor=.author -FFwhen=.w"
+    "https://paper.example/today\t-i pt45m -p 77 -d 2 -fd main -e post -ed #text -Fheadline=h2 -Fbody=.text%i "
+    "-fu x -c replies -cd #replies -ci li -FFwho=.who -fa 3 -FFtime=time"
 )
 
 
@@ -22,7 +23,7 @@ def test_split(ask):
 
 def test_options(ask):
     full, empty, bad = ask([SAMPLE.split("\t")[1], "", "-p x -amin 7 --anchor-max-length 9 -i soon"], O.parse_options(X))
-    assert (full.interval_s, full.priority, full.depth, full.entity, full.collection_item) == (1, 1010, 1, "article", ".comment")
+    assert (full.interval_s, full.priority, full.depth, full.entity, full.collection_item) == (2700, 77, 2, "post", "li")
     assert full.bad_options == "-fu -fa"
     defaults = (3600, 0, 1, 5, 50, 10, 200, "body", "body", None, "")
     names = "interval_s priority depth amin amax umin umax follow_dom entity_dom entity bad_options".split()
@@ -36,9 +37,9 @@ def test_defaults_equal_an_empty_line(ask):
 
 
 def test_extractors(ask):
-    args = SAMPLE.split("\t")[1] + " -Ftitle=again"
-    assert ask([args], O.field_extractors(X, "F")) == [{"title": "#title", "content": "#content p"}]
-    assert ask([args], O.field_extractors(X, "FF")) == [{"author": ".author", "when": ".w"}]
+    args = SAMPLE.split("\t")[1] + " -Fheadline=again"
+    assert ask([args], O.field_extractors(X, "F")) == [{"headline": "h2", "body": ".text i"}]
+    assert ask([args], O.field_extractors(X, "FF")) == [{"who": ".who", "time": "time"}]
     assert ask([""], O.field_extractors(X, "F")) == [{}]
 
 
@@ -86,8 +87,8 @@ def test_inject_drops_bad_lines_and_is_idempotent(spark):
     lines = spark.createDataFrame([(SAMPLE,), ("",), ("  ",), ("not-a-url -p 5",), ("http://b.com",), ("http://b.com -p 2",)], "line string")
     now = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
     rows = {r.url: r for r in J.inject(None, lines, now).collect()}
-    assert set(rows) == {"http://s.example/n/", "http://b.com"}
-    seed = rows["http://s.example/n/"]
-    assert (seed.fetch_priority, seed.fetch_interval_s, seed.mark_inject, seed.status) == (1010, 1, "Y", "UNFETCHED")
+    assert set(rows) == {"https://paper.example/today", "http://b.com"}
+    seed = rows["https://paper.example/today"]
+    assert (seed.fetch_priority, seed.fetch_interval_s, seed.mark_inject, seed.status) == (77, 2700, "Y", "UNFETCHED")
     again = J.inject(J.inject(None, lines, now), lines, now)
     assert sorted(map(repr, again.collect())) == sorted(map(repr, J.inject(None, lines, now).collect()))

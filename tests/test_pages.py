@@ -15,7 +15,7 @@ def page(spark, html, url="http://a.com/b/c"):
 
 def test_entities(ask):
     texts = ["a&amp;amp;b", "&lt;p&gt; &quot;x&quot; &eacute;&#233;&#xE9;", "&nope; & &", "&#128512;&#0;&#xD800;", "plain", None, "&copy"]
-    assert ask(texts, H.decode_entities(X)) == ["a&amp;b", '<p> "x" ééé', "&nope; & &", "😀��", "plain", None, "&copy"]
+    assert ask(texts, H.decode_entities(X)) == ["a&amp;b", '<p> "x" ééé', "&nope; & &", "😀��", "plain", None, "©"]
 
 
 @pytest.mark.parametrize("tolerant", [False, True])
@@ -100,7 +100,9 @@ CHARSETS = [
     (b'<meta charset="utf-8">', "text/html; charset=big5", "big5"),
     (b'<meta charset="utf-8">', "text/html; charset=nonsense", "utf-8"),
     (b"\xef\xbb\xbf<meta charset=nonsense>", None, "windows-1252"),
-    (b" " * 2000 + b'<meta charset="utf-8">', None, "windows-1252"),
+    (b" " * 2000 + b'<meta charset="utf-8">', None, "utf-8"),
+    (b"<title>x</title><!-- <meta charset=gbk> --><META Content='text/html;charset=KOI8-R' HTTP-EQUIV=content-type>", None, "koi8-r"),
+    (b"<meta name=description content='charset=gbk'><body><meta charset=gbk>", None, "windows-1252"),
     (b"", None, "windows-1252"),
 ]
 
@@ -114,10 +116,14 @@ def test_charsets(spark):
     assert clash == [8]
 
 
-def test_sniffing_counts_bytes_not_characters(ask):
-    # 1000 two-byte characters fill the window
-    text = "é" * 1000 + '<meta charset="utf-8">'
-    assert ask([text], C.sniffed_charset(F.encode(X, "UTF-8"))) == [None]
+def test_decoding(spark):
+    rows = [
+        ("utf-8", "é日".encode(), "é日"), ("utf-8", b"\xef\xbb\xbfa\xff", "a\ufffd"), ("windows-1252", b"\x80\xe9", "€é"), ("gbk", "日本".encode("gbk"), "日本"),
+        ("windows-1251", "Привет %41+b".encode("cp1251"), "Привет %41+b"), ("utf-16le", b"\xff\xfe" + "x".encode("utf-16-le"), "x"), (None, b"a", None), ("utf-8", None, None),
+    ]
+    df = spark.createDataFrame([(i, c, None if b is None else bytearray(b)) for i, (c, b, _) in enumerate(rows)], "i int, charset string, content binary")
+    got = P.decoded(df, F.col("content"), F.col("charset")).orderBy("i").collect()
+    assert [r.html for r in got] == [t for *_, t in rows]
 
 
 MIMES = [
@@ -126,6 +132,9 @@ MIMES = [
     ("weird/type", "http://a/b.JSON#f", b"", "application/json"),
     (None, "http://a/b", b"", "application/octet-stream"),
     ("text/plain", "http://a/b.txt", b"  <!DOCTYPE html>", "text/html"),
+    ("text/plain", "http://a/b.txt", b" " * 70 + b"<html>", "text/html"),
+    (None, "http://a/b", b"\xef\xbb\xbf<!DOCTYPE html>", "text/html"),
+    (None, "http://a/b", b"<!-- a -->\n<!-- <rss> --><html>", "text/html"),
     ("text/html", "http://a/b", b"%PDF-1.4", "application/pdf"),
     ("text/html", "http://a/b", b"PK\x03\x04zz", "application/zip"),
     ("application/json", "http://a.com", b"just words", "application/json"),
@@ -143,7 +152,60 @@ def test_mimes(spark):
 def test_main_content(spark):
     row = P.main_content(page(spark, "<head><title>T</title></head><body><nav>n</nav><article><p>one</p><p>two</p></article>")).first()
     assert (row.content_title, row.content_text, row.content_text_length) == ("T", "one two", 7)
-    assert P.main_content(page(spark, "<body><p>x</p></body>")).first().content_text is None
+    nested = "<article>one <article>inner</article> tail</article><p>no</p><article>second</article>"
+    assert P.main_content(page(spark, nested)).first().content_text == "one inner tail second"
+    words = " ".join(f"w{i}" for i in range(20))
+    html = f"<head><title>T</title></head><body><nav><p><a href=x>{words}</a></nav><h1>Head</h1><p>{words}<p>short<li><a href=x>{words}</a><div>{words} <a>l</a></div>"
+    row = P.main_content(page(spark, html)).first()
+    assert (row.content_title, row.content_text) == ("Head", f"{words} {words} l")
+    assert P.main_content(page(spark, "<body class=x><p>few words</p></body>")).first().content_text == "few words"
+    assert P.main_content(page(spark, None)).first().content_text is None
+
+
+def test_page_times(spark):
+    html = "<head><meta property='article:published_time' content='2024-01-02'><meta name=keywords content=' a, b'></head><time datetime='2023'>x</time>"
+    row = P.page_times(page(spark, html)).first()
+    assert (row.publish_time, row.modified_time, row.page_category) == ("2024-01-02", None, "a")
+    row = P.page_times(page(spark, "<body><!-- <time datetime=1> --><time class=a datetime='2023-05-06'>x</time>")).first()
+    assert (row.publish_time, row.page_category) == ("2023-05-06", None)
+
+
+BROKEN = [
+    ('<p>a</p><script>var x=1;', "a"), ("a<!-- b", "a"), ('<a data-x="1 > 0" href="/y">hello</a><p title="a>b">para</p>', "hello para"),
+    ("a<style>b</style>c<p", "a c"), ("x <b class='", "x"), ("1 < 2 <3", "1 < 2 <3"), ("it's <p title=it's>b</p> 'c'", "it's b 'c'"),
+]
+
+
+@pytest.mark.parametrize("html,text", BROKEN)
+def test_text_of_broken_markup(spark, html, text):
+    assert P.page_text(page(spark, html)).first().text == text
+
+
+REFERENCES = [
+    "&amp b", "&copy 2020", "&notit;", "&amp;lt;", "&AMP;x", "&#0000000065;", "&#x00000041;", "&#128;", "&#0;", "&#xD800;", "&#99999999;", "&apos;", "&check;", "&nosuch;",
+    "&ampamp;", "a&b", "&", "&#;", "&NotEqualTilde;", "&#38;lt;", "&#65", "&lt;&gt", "&Aacute", "&eacutex",
+]
+
+
+def test_references(ask):
+    from html import unescape
+
+    from crawlspark.functions.html import decode_entities
+
+    assert ask(REFERENCES, decode_entities(X)) == [unescape(r) for r in REFERENCES]
+    assert ask(["?a=1&copy=2&amp;b&lt", "&copyx", "&copy;x", "&#65x"], decode_entities(X, attribute=True)) == ["?a=1&copy=2&b<", "&copyx", "©x", "Ax"]
+
+
+def test_head_behind_a_commented_body(spark):
+    html = '<head><!-- <body> --><title>T</title><meta name="robots" content="noindex"></head><body><title>no</title></body>'
+    assert P.page_title(page(spark, html)).first().title == "T" and P.robots_meta(page(spark, html)).first().no_index
+    html = '<head><script>document.write("<body>")</script><title>S</title></head><body>'
+    assert P.page_title(page(spark, html)).first().title == "S"
+
+
+def test_long_refresh(spark):
+    html = "<head><meta http-equiv=refresh content='2147483647; url=/x'></head>"
+    assert P.robots_meta(page(spark, html)).first().refresh_time == 2147483647
 
 
 def test_main_content_tolerant(spark):

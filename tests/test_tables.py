@@ -72,13 +72,22 @@ def test_buckets_split_a_hot_key(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 5])
-def test_top_per_key(spark, n):
+@pytest.mark.parametrize("per_bucket", [20, 10**6])
+def test_first_rows_of_each_key(spark, n, per_bucket):
     rows, df = skewed(spark)
-    got = G.top_per_key(df, ["k"], [("u", F.col("u"))], n, salts=4).collect()
+    got = G.rank_rows(df, ["k"], [("u", F.col("u"))], limit=n, rows_per_bucket=per_bucket).collect()
     want = {(k, u, i) for k in {r[0] for r in rows} for i, u in enumerate(sorted(x[2] for x in rows if x[0] == k)[:n], 1)}
     assert {(r.k, r.u, r["rank"]) for r in got} == want
 
 
+def test_bounds_hold_no_texts(spark):
+    texts = [(1, "f", 1, "x" * 50_000 + str(i)) for i in range(60)]
+    fields = spark.createDataFrame(texts, "id int, field string, rnk int, value string")
+    got = D.add_values(fields, rows_per_bucket=10)
+    assert sorted(r.pos for r in got.select("pos").collect()) == list(range(60))
+    assert "xxxxxxxxxx" not in got._jdf.queryExecution().analyzed().toString()
+
+
 def test_lookup_join_small_and_salted(spark):
     rows, df = skewed(spark)
     dim = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, v int")
