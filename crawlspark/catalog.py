@@ -1181,6 +1181,7 @@ def robots_meta(fx: Fixture) -> DataFrame:
     """select page_id, 'name' as kind, 'robots' as name, case page_id % 6 when 0 then 'none' when 1 then 'noindex' when 2 then 'nofollow'
   when 3 then 'noarchive' when 4 then 'NOINDEX, NOFOLLOW' else 'all' end as content from pages
 union all select page_id, 'name', 'keywords', concat('k', page_id % 4) from pages
+union all select page_id, 'name', 'description', concat('a > b & d', page_id % 3) from pages
 union all select page_id, 'http-equiv', 'pragma', 'no-cache' from pages where page_id % 5 = 0
 union all select page_id, 'http-equiv', 'refresh', case page_id % 4 when 1 then '5; url=http://r.example.com/' else '7' end
   from pages where page_id % 4 in (1, 2)
@@ -1201,13 +1202,89 @@ def page_title(fx: Fixture) -> DataFrame:
 
 @query(
     "page_metadata",
-    f"""select page_id, {_NULL} as meta_title, concat('k', page_id % 4) as meta_keywords, {_NULL} as meta_description from pages""",
+    f"""select page_id, {_text("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} as meta_title,
+  concat('k', page_id % 4) as meta_keywords, concat('a > b & d', page_id % 3) as meta_description from pages""",
 )
 def page_metadata(fx: Fixture) -> DataFrame:
     found = P.page_metadata(fx.view("meta_pages"))
     return found.select("page_id", "meta_title", "meta_keywords", "meta_description")
 
 
+_ARTICLE = "regexp_extract(html, '(?is)<article[^>]*>(.*?)</article\\s*>', 1)"
+
+
+# markup that real pages have and the given ones lack, put around them; what it means is known by construction
+
+
+@query(
+    "page_text_broken",
+    f"""select page_id, concat({_text("html")}, ' it''s tail', page_id, ' & © A no') as text from pages""",
+)
+def page_text_broken(fx: Fixture) -> DataFrame:
+    tail = F.concat(F.lit("<p title=it's data-x='a>b'>it's<!-- x > y --> tail"), "page_id", F.lit(" &amp &copy &#0000000065; <a title=\"<p>\">no</a></p><script>var x = '<p>';"))
+    pages = fx.table("pages").select("page_id", F.concat("html", tail).alias("html"))
+    return P.page_text(pages).select("page_id", "text")
+
+
+@query(
+    "head_rules",
+    "select page_id, concat('T', page_id, ' & b © 2020 ', chr(8800)) as title, true as no_index, 2147483647 as refresh_time from pages",
+)
+def head_rules(fx: Fixture) -> DataFrame:
+    head = F.concat(
+        F.lit('<html><head><!-- <body> --><script>document.write("<body>")</script><meta data-x="1 > 0" name="robots" content="noindex"><title>T'),
+        "page_id",
+        F.lit(' &amp b &copy 2020 &ne;</title><meta http-equiv="refresh" content="2147483647"></head>'),
+    )
+    pages = fx.table("pages").select("page_id", "url", F.concat(head, "html").alias("html"))
+    return P.robots_meta(P.page_title(pages)).select("page_id", "title", "no_index", "refresh_time")
+
+
+@query(
+    "link_markup",
+    f"""select page_id, concat('http://base.example.com/d/f', page_id) as to_url, 'go one mid' as anchor from pages
+union all select page_id, 'http://base.example.com/d/one?a=1&copy=2', 'one' from pages
+union all select page_id, 'http://base.example.com/two', 'two' from pages
+union all select page_id, concat('http://base.example.com', href), {_decode("anchor")} from links""",
+    "links",
+)
+def link_markup(fx: Fixture) -> DataFrame:
+    start = F.concat(
+        F.lit('<html><head><base href="http://base.example.com/d/"></head><body><form action="f'),
+        "page_id",
+        F.lit('">go <a data-x="1 > 0" href="one?a=1&copy=2">one</a> mid <a href="/two">two</a> end</form>'),
+    )
+    pages = fx.table("pages").select("page_id", "url", F.concat(start, "html").alias("html"))
+    return L.extract_outlinks(pages, ["page_id"], ignore_tags=("none",)).select("page_id", "to_url", "anchor")
+
+
+_BLOCK_LIST = (
+    "list_filter(list_transform(regexp_split_to_array(regexp_extract(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(?is)<body>(.*)', 1),"
+    " '</?(?:body|html|nav|ul|li|div|article|h1|p|footer)[^>]*>'), lambda b: trim(regexp_replace(regexp_replace(b, '<a [^>]*>[^<]*</a>|<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))),"
+    " lambda b: len(string_split(b, ' ')) >= 10)"
+)
+
+
+@query(
+    "main_content_blocks",
+    f"""select page_id, md5(case when len({_BLOCK_LIST}) > 0 then {_decode(f"array_to_string({_BLOCK_LIST}, ' ')")}
+  else {_text("regexp_extract(html, '(?is)<body>(.*)', 1)")} end) as text_md5 from pages""",
+)
+def main_content_blocks(fx: Fixture) -> DataFrame:
+    html = F.regexp_replace("html", "</?article>", "")
+    pages = P.main_content(fx.table("pages").select("page_id", html.alias("html")))
+    return pages.select("page_id", F.md5(F.encode("content_text", "UTF-8")).alias("text_md5"))
+
+
+@query(
+    "nested_articles",
+    f"""select page_id, concat('first inner tail ', {_text(_ARTICLE)}) as content_text from pages""",
+)
+def nested_articles(fx: Fixture) -> DataFrame:
+    html = F.concat(F.lit("<article>first <article>inner</article> tail</article><p>between</p>"), "html")
+    return P.main_content(fx.table("pages").select("page_id", html.alias("html"))).select("page_id", "content_text")
+
+
 @query(
     "base_href",
     """select page_id, case page_id % 3 when 0 then 'http://b.example.com/x/' else url end as base_url,
@@ -1260,9 +1337,6 @@ def mime_resolution(fx: Fixture) -> DataFrame:
     return P.mime_resolution(pages, declared, F.col("url"), content).select("page_id", "mime")
 
 
-_ARTICLE = "regexp_extract(html, '(?is)<article[^>]*>(.*?)</article\\s*>', 1)"
-
-
 @query(
     "main_content",
     f"""select page_id, {_text(f"regexp_extract({_ARTICLE}, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} as content_title,
@@ -1298,14 +1372,16 @@ def inject(fx: Fixture) -> DataFrame:
 @query(
     "index_seeds",
     """with new_links as (select distinct regexp_extract(line, '^([^ ]*)', 1) as to_url from seeds where contains(line, ' -w ')),
-old_links as (select url as to_url, page_id as p from pages where page_id % 5 = 0 and url not in (select to_url from new_links))
+old_links as (select unnest([url, concat(url, '&old')]) as to_url, page_id as p from pages),
+kept as (select to_url, p from old_links where to_url not in (select to_url from new_links))
 select 'internal://seeds/1' as page, to_url, cast(row_number() over (order by g, p, to_url) - 1 as bigint) as pos
-from (select 0 as g, 0 as p, to_url from new_links union all select 1, p, to_url from old_links) t""",
+from (select 0 as g, 0 as p, to_url from new_links union all select 1, p, to_url from kept) t""",
     "seeds",
 )
 def index_seeds(fx: Fixture) -> DataFrame:
-    listed = fx.table("pages").where("page_id % 5 = 0")
-    old = listed.select(F.lit("internal://seeds/1").alias("page"), F.col("url").alias("to_url"), F.col("page_id").alias("pos"))
+    # known links and others
+    listed = fx.table("pages").select("page_id", F.explode(F.array("url", F.concat("url", F.lit("&old")))).alias("to_url"))
+    old = listed.select(F.lit("internal://seeds/1").alias("page"), "to_url", F.col("page_id").alias("pos"))
     return J.index_seeds(old, fx.view("seeds"))
 
 
@@ -1317,7 +1393,7 @@ select page_id, url, cast(row_number() over (order by url) as bigint) as rank, '
     "webdb",
 )
 def generate(fx: Fixture) -> DataFrame:
-    batch = J.generate(fx.view("webdb"), now(), "b9", 100_000_000)
+    batch = J.generate(fx.view("webdb"), now(), "b9")
     return batch.select("page_id", "url", "rank", "batch_id", "generate_time", "mark_generate", "mark_inject")
 
 
@@ -1450,29 +1526,26 @@ _T1, _T2 = (f"timestamp '{t}'" for t in STARTS)
 
 @query(
     "crawl_rounds",
-    f"""with {_LATEST},
-seed_rows as (select p.page_id, p.url, coalesce(l.code, 0) = 200 as ok, p.page_id % 24 as hours, 30 + p.page_id % 3 as amax
-  from pages p left join latest l on l.page_id = p.page_id where p.page_id % 7 = 0),
-accepted as (select distinct to_url from (
-  select concat({_origin("k.url")}, k.href) as to_url, {_decode("k.anchor")} as anchor, s.amax
-  from links k join seed_rows s on s.page_id = k.page_id where s.ok) t
-  where length(to_url) between 10 and 200 and length(anchor) between 5 and amax and to_url not in (select url from seed_rows))
-select url, true as is_seed, case when ok then 'FETCHED' else 'UNFETCHED' end as status, case when ok then 2 else 0 end as fetch_count,
-  case when ok then {_T2} + to_hours(hours) else {_T1} end as fetch_time, case when ok then 'b2' end as mark_fetch,
-  case when not ok then 'b2' end as mark_generate, {_NULL} as mark_inactive from seed_rows
+    f"""with latest as (
+  select page_id, arg_max(code, ts) filter (ts <= {_T1}) as code1, arg_max(code, ts) filter (ts <= {_T2}) as code2 from fetch_log group by page_id),
+seed_rows as (select p.page_id, p.url, coalesce(l.code1, 0) = 200 as ok1, coalesce(l.code2, 0) = 200 as ok2, p.page_id % 24 as hours, 30 + p.page_id % 3 as amax
+  from pages p left join latest l on l.page_id = p.page_id),
+accepted as (select to_url, bool_or(ok1) as first from (
+  select concat({_origin("k.url")}, k.href) as to_url, {_decode("k.anchor")} as anchor, s.amax, s.ok1
+  from links k join seed_rows s on s.page_id = k.page_id where s.ok1 or s.ok2) t
+  where length(to_url) between 10 and 200 and length(anchor) between 5 and amax and to_url not in (select url from seed_rows) group by to_url)
+select url, true as is_seed, case when ok1 or ok2 then 'FETCHED' else 'UNFETCHED' end as status, cast(ok1 as int) + cast(ok2 as int) as fetch_count,
+  case when ok2 then {_T2} + to_hours(hours) when ok1 then {_T1} + to_hours(hours) + interval 1 day else {_T1} end as fetch_time,
+  case when ok2 then 'b2' when ok1 then 'b1' end as mark_fetch, case when not ok2 then 'b2' end as mark_generate, {_NULL} as mark_inactive from seed_rows
 union all
-select to_url, false, case when found then 'FETCHED' else 'UNFETCHED' end, case when found then 1 else 0 end,
-  case when found then {_T2} + interval 3650 day else {_T1} end, case when found then 'b2' end, case when not found then 'b2' end,
-  case when found then 'Y' end
-from (select to_url, exists (select 1 from pages p join latest l on l.page_id = p.page_id and l.code = 200 where p.url = to_url) as found
-      from accepted) t""",
+select to_url, false, 'UNFETCHED', 0, case when first then {_T1} else {_T2} end, null, case when first then 'b2' end, null from accepted""",
     "fetch_log links",
 )
 def rounds(fx: Fixture) -> DataFrame:
     pages = fx.table("pages")
     log = fx.view("fetch_log").join(pages.select("page_id", "url"), "page_id").drop("page_id")
     start = J.inject(None, fx.view("seeds"), now())
-    final = crawl_rounds(fx.spark, start, log, pages.select("url", "html"), STARTS, 100_000_000, fx.view("index_fields"))
+    final = crawl_rounds(fx.spark, start, log, pages.select("url", "html"), STARTS, None, fx.view("index_fields"))
     return final.select("url", "is_seed", "status", "fetch_count", "fetch_time", "mark_fetch", "mark_generate", "mark_inactive")
 
 

@@ -22,7 +22,7 @@ from events""",
 select concat(url, ' -i pt', cast(page_id % 24 as varchar(10)), 'h -p ',
               cast(1000 + page_id % 10 as varchar(10)), ' -d ', cast(page_id % 3 as varchar(10)),
               ' -amin 5 -amax ', cast(30 + page_id % 3 as varchar(10)), ' -w alpha^2,beta^0.5,gamma') as line
-from pages where page_id % 7 = 0
+from pages
 union all select '' as line
 union all select 'not-a-url -p 5' as line""",
     "suffixes": """
@@ -42,7 +42,7 @@ union all select 'title', true
 union all select 'author', true
 union all select 'text_content', false""",
     "doc_fields": """
-select concat('d', cast(doc_id as varchar(20))) as id, 'title' as field, 0 as rnk, substring(text, 1, 20) as value from documents
+select concat('d', cast(doc_id as varchar(20))) as id, 'title' as field, 0 as rnk, concat(source, ' ', lang) as value from documents
 union all select concat('d', cast(doc_id as varchar(20))), 'text_content', 0, text from documents
 union all select concat('d', cast(doc_id as varchar(20))), 'author', 1, source from documents
 union all select concat('d', cast(doc_id as varchar(20))), 'title', 2, lang from documents
@@ -51,13 +51,13 @@ union all select concat('d', cast(doc_id as varchar(20))), 'unmapped', 1, 'x' fr
 select page_id, url, concat('<html><head><meta name="robots" content="',
          case page_id % 6 when 0 then 'none' when 1 then 'noindex' when 2 then 'nofollow'
               when 3 then 'noarchive' when 4 then 'NOINDEX, NOFOLLOW' else 'all' end,
-         '"><meta name="keywords" content="k', cast(page_id % 4 as varchar(5)), '">',
+         '"><meta name="keywords" content="k', cast(page_id % 4 as varchar(5)), '"><meta name="description" content="a > b &amp; d', cast(page_id % 3 as varchar(5)), '">',
          case when page_id % 5 = 0 then '<meta http-equiv="pragma" content="no-cache">' else '' end,
          case when page_id % 4 = 1 then '<meta http-equiv="refresh" content="5; url=http://r.example.com/">'
               when page_id % 4 = 2 then '<meta http-equiv="refresh" content="7">' else '' end,
          '<meta http-equiv="Content-Type" content="text/html; charset=',
          case page_id % 3 when 0 then 'ISO-8859-1' when 1 then 'utf-8' else 'euc-kr' end,
-         '"></head><body></body></html>') as html
+         '"></head>', html) as html
 from pages""",
     "counters": """
 select concat('g', cast(user_id % 3 as varchar(5))) as grp, event_type as name,

@@ -259,13 +259,15 @@ def options_line(url: Column, opts: Column, fields: Column, sub_fields: Column)
 
 def iso_duration(seconds: Column) -> Column:
     """Seconds as ``PTnHnMnS``, the form duration options are printed in."""
-    hours = F.floor(seconds / 3600).cast("bigint")
-    minutes = F.floor((seconds % 3600) / 60).cast("bigint")
-    rest = seconds % 60
+    # a negative duration has its sign in front
+    size = F.abs(seconds)
+    hours = F.floor(size / 3600).cast("bigint")
+    minutes = F.floor((size % 3600) / 60).cast("bigint")
+    rest = size % 60
 
     def item(value: Column, unit: str) -> Column:
         return F.when(value != 0, F.concat(value.cast("string"), F.lit(unit))).otherwise("")
 
     return F.when(seconds == 0, F.lit("PT0S")).otherwise(
-        F.concat(F.lit("PT"), item(hours, "H"), item(minutes, "M"), item(rest, "S"))
+        F.concat(F.when(seconds < 0, F.lit("-PT")).otherwise("PT"), item(hours, "H"), item(minutes, "M"), item(rest, "S"))
     )

@@ -45,13 +45,15 @@ def generate(table: DataFrame, now: Column, batch_id: str, top_n: int | None = N
     return R.mark_generated(R.generate_topn(table, now, top_n), now, batch_id)
 
 
-def fetch(batch: DataFrame, log: DataFrame, archive: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Batch pages with response, content and ``fetch_code``: 0, -1 not fetched, -2 no generate mark.
+def fetch(
+    batch: DataFrame, log: DataFrame, archive: DataFrame, key: str = "page_id", html: str = "html", as_of: Column | None = None
+) -> DataFrame:
+    """Batch pages with response (the latest ``as_of`` a time), content and ``fetch_code``: 0, -1 not fetched, -2 no generate mark.
 
     Pages without the mark are kept for backoff, but nothing is read for them.
     """
     coded = R.with_generate_code(batch)
-    marked = fetch_content(coded.where("fetch_code = 0"), log, archive, key, html)
+    marked = fetch_content(coded.where("fetch_code = 0"), log, archive, key, html, as_of)
     failed = F.when(F.col("protocol_status") != "SUCCESS", -1).otherwise(0)
     return marked.withColumn("fetch_code", failed).unionByName(coded.where("fetch_code < 0"), allowMissingColumns=True)
 

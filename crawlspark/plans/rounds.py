@@ -38,7 +38,7 @@ def crawl_rounds(
 ) -> DataFrame:
     """One round per start time; returns the last state of the web table, written as a snapshot.
 
-    ``log`` and ``archive`` are keyed by url. A round writes what it fetched, once (state, links and
+    ``log`` and ``archive`` are keyed by url; a round sees responses up to its start time. A round writes what it fetched, once (state, links and
     index rows read their own columns of it), and then only the rows it changed; the table itself is
     written again every ``compact_every`` rounds. Every step starts from written tables, so plans
     never grow and a lost executor costs one step. The loop ends early when a round selects nothing
@@ -58,17 +58,21 @@ def crawl_rounds(
         now = F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz")
         state = _current(base, deltas)
         batch = generate(state, now, f"{batch_prefix}{number}", top_n).drop("rank")
-        fetched = write_snapshot(fetch(batch, log, archive, "url"), path("fetched", number))
+        fetched = write_snapshot(fetch(batch, log, archive, "url", as_of=now), path("fetched", number))
         if fetched.isEmpty():
             break
-        old_links = spark.read.parquet(*links_of) if links_of else None
+        # only what this batch's pages linked before
+        old_links = spark.read.parquet(*links_of).join(fetched.select("key"), "key", "left_semi") if links_of else None
         links = write_snapshot(_accepted(fetched, old_links), path("links", number))
         links_of.append(path("links", number))
         if mapping is not None:
             write_index(mapped_fields(index_fields(fetched), mapping), path("index", number))
         changed = fetched_state(fetched, now).select(*_STATE)
         fresh = conform(outlink_pages(links, now)).select(*_STATE)
-        added = fresh.join(state.select("key"), "key", "left_anti")
+        # the few new keys look for themselves among the plain keys of base and deltas
+        keys = base.select("key").union(spark.read.parquet(*deltas).select("key")) if deltas else base.select("key")
+        found = keys.join(fresh.select("key"), "key", "left_semi").distinct()
+        added = fresh.join(found, "key", "left_anti")
         write_snapshot(changed.unionByName(added).withColumn("version", F.lit(number)), path("delta", number))
         deltas.append(path("delta", number))
         if number % compact_every == 0:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.operators.state import protocol_status
@@ -14,16 +14,27 @@ def latest_responses(log: DataFrame, key: str = "page_id", ts: str = "ts", tie:
     return log.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(ts, tie)).alias("r")).select(key, "r.*")
 
 
-def fetch_content(batch: DataFrame, log: DataFrame, archive: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+def fetch_content(
+    batch: DataFrame, log: DataFrame, archive: DataFrame, key: str = "page_id", html: str = "html", as_of: Column | None = None, captured: str | None = None
+) -> DataFrame:
     """Batch pages with their latest response code, protocol status and, on success, content.
 
-    Pages are matched to responses before content is read, and only successes read content.
+    Pages are matched to responses before content is read, and only successes read content. With ``as_of`` later responses
+    (and captures, if the archive has their time in ``captured``) don't count. Of several captures of a page the latest is
+    its content, ties by hash, so a page stays one row.
     """
-    answered = batch.join(latest_responses(log, key).select(key, F.col("code")), key, "left")
-    known = answered.withColumn(
+    seen = log.select(key, "code", "ts", "event_id").join(batch.select(key).distinct(), key, "left_semi")
+    if as_of is not None:
+        seen = seen.where(F.col("ts") <= as_of)
+    known = batch.join(latest_responses(seen, key).select(key, F.col("code")), key, "left").withColumn(
         "protocol_status",
         F.when(F.col("code").isNull(), F.lit("EXCEPTION")).otherwise(protocol_status(F.col("code"))),
     )
-    wanted = known.where(F.col("protocol_status") == "SUCCESS").select(key)
-    content = archive.select(key, html).join(wanted, key, "left_semi")
-    return known.join(content, key, "left")
+    copies = archive.select(key, html, *([captured] if captured else []))
+    if captured and as_of is not None:
+        copies = copies.where(F.col(captured) <= as_of)
+    order = F.struct(*([F.col(captured)] if captured else []), F.xxhash64(html))
+    content = copies.groupBy(key).agg(F.max_by(html, order).alias(html))
+    wanted = known.withColumn("_key", F.when(F.col("protocol_status") == "SUCCESS", F.col(key)))
+    # pages without success have no key to look up
+    return wanted.join(content.withColumnRenamed(key, "_k"), F.col("_key") == F.col("_k"), "left").drop("_key", "_k")
