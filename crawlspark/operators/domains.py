@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.functions import urls as U
-from crawlspark.operators.lookup import fits_broadcast, lookup_join
+from crawlspark.operators.lookup import is_small, lookup_join, weight
 
 HOST, DOMAIN, IP = "host", "domain", "ip"
 
@@ -17,8 +17,9 @@ def with_suffix(df: DataFrame, host: Column, suffixes: DataFrame, prefix: str =
     A host of one label may be a suffix itself; an IPv4 address has none. Suffixes have few
     labels, so each possible length is one look-up join and no row is multiplied or shuffled.
     """
-    depth = suffixes.agg(F.max(F.size(F.split("domain", "[.]")))).first()[0] or 0
-    small = fits_broadcast(suffixes)
+    # one pass over the suffixes proves their size and counts their labels
+    depth, *size = suffixes.agg(F.max(F.size(F.split("domain", "[.]"))), *weight(suffixes)).first()
+    depth, small = depth or 0, is_small(*size)
     attributes = [c for c in suffixes.columns if c != "domain"]
     out = df.withColumns({"_host": host, "_labels": F.split(host, "[.]")})
     for k in range(1, depth + 1):

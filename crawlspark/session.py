@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -40,3 +42,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="crawlspark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per session, so that Python functions find it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_crawlspark_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="crawlspark-code-")) / "crawlspark.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(path))
+    context._crawlspark_shipped = True
