@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_seed_lines(spark: SparkSession, path: str, continued: bool = True) -> DataFrame:
-    """Seed lines of text files; a line that ends in a backslash goes on in the next one.
+def read_seed_lines(spark: SparkSession, path: str, continued: bool = False) -> DataFrame:
+    """Seed lines of text files of any size, which are split and read line by line.
 
-    Continuations need whole files, so that form is for seed lists, one task per file. With
-    ``continued=False`` any size of file is split and read line by line.
+    With ``continued`` a line that ends in a backslash goes on in the next one. That needs whole files, one task
+    per file, each below Spark's 2 GB for a value.
     """
     if not continued:
         return spark.read.text(path).select(F.col("value").alias("line"))

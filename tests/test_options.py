@@ -53,6 +53,12 @@ def test_options_line(spark):
     )
 
 
+def test_negative_durations_print_readably(ask):
+    seconds = [-5, -3665, 0, 5, 90061]
+    printed = ask([str(n) for n in seconds], O.iso_duration(X.cast("bigint")))
+    assert printed == ["-PT5S", "-PT1H1M5S", "PT0S", "PT5S", "PT25H1M1S"] and ask(printed, O.duration_seconds(X)) == seconds
+
+
 def test_durations(ask):
     texts = ["pt1s", "30d", "10m", "60s", "2h", "PT1H30M", "P2D", "P1DT1S", "-PT5S", "PT1.5S", "P", "x", "", "5", None]
     want = [1, 2592000, 600, 60, 7200, 5400, 172800, 86401, -5, 1, None, None, None, None, None]
@@ -78,9 +84,9 @@ def test_keywords(ask):
 
 def test_seed_file_with_continuations(spark, tmp_path):
     (tmp_path / "s.txt").write_text("http://a.com\t-p 1 \\\n   -e article \\\n  -d 2\n\nhttp://b.com\n")
-    lines = [r.line for r in read_seed_lines(spark, str(tmp_path / "s.txt")).collect()]
+    lines = [r.line for r in read_seed_lines(spark, str(tmp_path / "s.txt"), continued=True).collect()]
     assert [x for x in lines if x] == ["http://a.com\t-p 1 -e article -d 2", "http://b.com"]
-    assert read_seed_lines(spark, str(tmp_path / "s.txt"), continued=False).count() == 5
+    assert read_seed_lines(spark, str(tmp_path / "s.txt")).count() == 5
 
 
 def test_inject_drops_bad_lines_and_is_idempotent(spark):

@@ -417,8 +417,9 @@ def test_rounds_stop_early(spark, tmp_path):
     assert not (tmp_path / "b" / "fetched").exists()
 
 
-def test_streamed_log_equals_batch(spark, tmp_path):
-    from crawlspark.streaming.fetch_log import apply_log, update_states
+@pytest.mark.parametrize("compact_every", [1, 2, 16])
+def test_streamed_log_equals_batch(spark, tmp_path, compact_every):
+    from crawlspark.streaming.fetch_log import apply_log, current, update_states
 
     table = spark.createDataFrame(
         [(i, i % 2 == 0, 0, 60, None, "b1", T0) for i in range(6)],
@@ -429,9 +430,9 @@ def test_streamed_log_equals_batch(spark, tmp_path):
     for n, rows in enumerate(parts):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "log" / f"p{n}"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log" / "*"))
-    query = update_states(stream, table, str(tmp_path / "out")).trigger(availableNow=True).start()
+    query = update_states(stream, table, str(tmp_path / "out"), compact_every=compact_every).trigger(availableNow=True).start()
     assert query.awaitTermination(120)
-    got = spark.read.parquet(str(tmp_path / "out" / "state-1")).orderBy("page_id").collect()
+    got = current(table, str(tmp_path / "out"), 1, compact_every=compact_every).orderBy("page_id").collect()
     want = table
     for rows in parts:
         want = apply_log(want, spark.createDataFrame(rows, schema))
