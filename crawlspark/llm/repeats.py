@@ -160,7 +160,8 @@ def spans(docs: DataFrame) -> DataFrame:
     """Repeated windows of ``docs`` as rows doc_id, _mark, at (first and last window start); they may overlap."""
     docs = docs.select("doc_id", "text")
     every = saved(occurrences(docs), "repeats-stretches")
-    twice = every.groupBy("owner").agg(F.count("*").alias("n")).where("n > 1").select("owner")
+    # written, so that the join is of two plain shuffles, whose hot owners Spark splits
+    twice = saved(every.groupBy("owner").agg(F.count("*").alias("n")).where("n > 1").select("owner"), "repeats-twice")
     some = saved(every.join(twice, "owner"), "repeats-shared")
     release(some)
     place = F.struct("doc_id", "_mark", "at")
@@ -168,7 +169,7 @@ def spans(docs: DataFrame) -> DataFrame:
     columns = ["doc_id", "_mark", "at"]
     whole = some.join(kinds.where("n > 1").select("owner", "content"), ["owner", "content"], "left_semi").select(*columns)
 
-    mixed_owners = kinds.groupBy("owner").agg(F.count("*").alias("kinds")).where("kinds > 1").select("owner")
+    mixed_owners = saved(kinds.groupBy("owner").agg(F.count("*").alias("kinds")).where("kinds > 1").select("owner"), "repeats-mixed")
     open_ = saved(kinds.join(mixed_owners, "owner").select("owner", (F.col("n") > 1).alias("whole"), "place.*"), "repeats-open")
     release(some)
     size = open_.agg(F.sum(F.col("at").bitwiseAND(0xFFFFFFFF) - F.shiftright("at", 32) + LENGTH)).first()[0] or 0
@@ -253,9 +254,10 @@ def _cut(docs: DataFrame, fields: dict[str, str], one) -> DataFrame:
     found = saved(spans(docs), "repeats-spans")
     release(found)
     lists = found.groupBy("doc_id", "_mark").agg(F.collect_set("at").alias("_spans"))
-    joined = _with_texts(docs, lists, "left").drop("_mark")
-    inner = [c for c in docs.columns if c not in fields and c != "text"]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in inner), *(f"{c} {k}" for c, k in fields.items())])
+    # the other columns travel as one, so that their names meet none of ours
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in fields and c != "text"])
+    joined = _with_texts(docs.select("doc_id", "text", row.alias("_row")), lists, "left").select("_row", "text", "_spans")
+    schema = ", ".join([f"_row {joined.schema['_row'].dataType.simpleString()}", *(f"`{c}` {k}" for c, k in fields.items())])
     kinds = [{"string": pa.string(), "bigint": pa.int64()}[k] for k in fields.values()]
 
     def run(batches):
@@ -263,11 +265,10 @@ def _cut(docs: DataFrame, fields: dict[str, str], one) -> DataFrame:
             for start, texts in rows_of(batch, "text", 128):
                 places = batch.column("_spans").slice(start, len(texts)).to_pylist()
                 out = [one(t, (t or "").encode(), merged(p)) for t, p in zip(texts, places)]
-                part = batch.slice(start, len(texts))
                 new = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
-                yield pa.RecordBatch.from_arrays([*map(part.column, inner), *new], [*inner, *fields])
+                yield pa.RecordBatch.from_arrays([batch.column("_row").slice(start, len(texts)), *new], ["_row", *fields])
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).select("_row.*", *fields)
 
 
 def digests(docs: DataFrame) -> DataFrame:
