@@ -223,10 +223,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     same = classes(narrow).groupBy("root", "doc_id", "_mark").agg(F.count("*").alias("_n"))
     kept = same.groupBy("root").agg(F.min_by(F.struct("doc_id", "_mark", "_n"), order).alias("k"))
     kept = saved(kept.select(F.col("k.doc_id").alias("_id"), F.col("k._mark").alias("_m"), "k._n"), "simhash-kept")
-    marked = docs.withColumn("_mark", mark)
+    # a row travels as one column, so that its names meet none of ours
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", mark.alias("_mark"))
     found = marked.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")))
     once = found.where("_n > 1").dropDuplicates(["doc_id", "_mark"])
-    return found.where("_n = 1").union(once).select(*docs.columns)
+    return found.where("_n = 1").union(once).select("_row.*")
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
