@@ -23,6 +23,7 @@ from crawlspark.operators import pages as P
 from crawlspark.operators import seeds as Q
 from crawlspark.operators import state as S
 from crawlspark.operators import tolerant as T
+from crawlspark.operators.lookup import lookup_join
 from crawlspark.plans import jobs as J
 from crawlspark.plans.rounds import crawl_rounds
 from crawlspark.sources import xml as XS
@@ -655,7 +656,7 @@ def selector_order(fx: Fixture) -> DataFrame:
 def priority_order(fx: Fixture) -> DataFrame:
     ranked = R.priority_order(fx.view("webdb"), RUN_SEED)
     firsts = ranked.groupBy("fetch_priority").agg(F.min("rank").alias("first_rank"))
-    return ranked.join(F.broadcast(firsts), "fetch_priority").select("page_id", "fetch_priority", "first_rank")
+    return lookup_join(ranked, firsts, ["fetch_priority"], "inner").select("page_id", "fetch_priority", "first_rank")
 
 
 ORACLES["priority_order"] = with_views(
@@ -741,6 +742,22 @@ def index_home_cap(fx: Fixture) -> DataFrame:
     return X.cap_links(links, 5, 4)
 
 
+_HOME = "internal://seeds"
+
+
+@query(
+    "index_home",
+    f"""with l as (select page_id, url as to_url from pages union all select max(page_id) + 1, '{_HOME}/2' from pages),
+r as (select to_url, cast(row_number() over (order by to_url <> '{_HOME}/2', page_id) - 1 as bigint) as pos, count(*) over () as n from l)
+select '{_HOME}' as page, to_url, pos from r where n <= 100 or pos < 80""",
+)
+def index_home(fx: Fixture) -> DataFrame:
+    pages = fx.table("pages").select("page_id", F.col("url").alias("to_url"))
+    known = pages.agg((F.max("page_id") + 1).alias("page_id")).select("page_id", F.lit(f"{_HOME}/2").alias("to_url"))
+    listed = pages.union(known).select(F.lit(_HOME).alias("page"), "to_url", F.col("page_id").alias("pos"))
+    return J.index_home(listed, 2, _HOME, 100, 80)
+
+
 @query(
     "old_outlinks_add",
     "select page_id as page, href as to_url from links where pos % 3 = 0 or pos % 2 = 0 group by 1, 2",

@@ -16,7 +16,7 @@ from crawlspark.operators import frontier as R
 from crawlspark.operators import links as L
 from crawlspark.operators import pages as P
 from crawlspark.operators import state as S
-from crawlspark.operators.pageindex import add_links
+from crawlspark.operators.pageindex import HOME_KEEP, HOME_LIMIT, add_links, cap_links
 from crawlspark.operators.seeds import inject as inject_rows
 from crawlspark.operators.seeds import valid_seeds
 from crawlspark.sources.responses import fetch_content
@@ -40,6 +40,15 @@ def index_seeds(old: DataFrame, lines: DataFrame, page_no: int = 1, home: str =
     return add_links(old, seeds)
 
 
+def index_home(listed: DataFrame, page_no: int, home: str = SEED_HOME, limit: int = HOME_LIMIT, keep: int = HOME_KEEP) -> DataFrame:
+    """Links (page, pos, to_url) of the home page of index pages with an index page put first, each link once.
+
+    A list of more than ``limit`` links keeps its first ``keep``.
+    """
+    first = listed.sparkSession.range(1).select(F.lit(home).alias("page"), F.lit(f"{home}/{page_no}").alias("to_url"), F.lit(0).alias("pos"))
+    return cap_links(add_links(listed, first), limit, keep)
+
+
 def generate(table: DataFrame, now: Column, batch_id: str, top_n: int | None = None) -> DataFrame:
     """The next batch: the first ``top_n`` due pages, or all, marked, with their rank."""
     return R.mark_generated(R.generate_topn(table, now, top_n), now, batch_id)
