@@ -203,6 +203,30 @@ def test_fetch_content(spark):
     assert latest_responses(log).count() == 3
 
 
+def test_content_as_of_a_time_and_of_several_captures(spark):
+    batch = spark.createDataFrame([(1,), (2,)], "page_id int")
+    schema = "event_id int, page_id int, ts timestamp_ntz, code int"
+    later = T0 + dt.timedelta(1)
+    log = spark.createDataFrame([(1, 1, T0, 200), (2, 1, later, 404), (3, 2, later, 200)], schema)
+    pages = spark.createDataFrame([(1, "old", T0), (1, "new", later), (2, "x", T0), (2, "x", T0)], "page_id int, html string, seen timestamp_ntz")
+    now = F.lit(T0.isoformat(sep=" ")).cast("timestamp_ntz")
+    got = fetch_content(batch, log, pages, as_of=now, captured="seen").collect()
+    assert sorted((r.page_id, r.protocol_status, r.html) for r in got) == [(1, "SUCCESS", "old"), (2, "EXCEPTION", None)]
+    got = fetch_content(batch, log.where("code = 200"), pages, captured="seen").collect()
+    assert sorted((r.page_id, r.html) for r in got) == [(1, "new"), (2, "x")]
+    assert fetch_content(batch, log.where("code = 200"), pages).count() == 2
+
+
+def test_index_fields_keep_long_values(spark):
+    words = "word " * 40_000
+    rows = [("k", "http://a.com/", "Y", 0, f"<html><head><title>T</title></head><body><p>{words}</p></body></html>")]
+    fetched = spark.createDataFrame(rows, "key string, url string, mark_generate string, fetch_code int, html string")
+    fetched = fetched.withColumns({"crawl_opts": F.lit(None).cast("string"), "is_seed": F.lit(False), "distance": F.lit(0)})
+    kept = {r.field: r.value for r in J.index_fields(fetched).collect()}
+    assert kept["text_content"] == words.strip() and kept["title"] == "T"
+    assert "text_content" not in {r.field for r in J.index_fields(fetched, max_length=1000).collect()}
+
+
 def test_unmarked_pages_fail_without_being_read(spark):
     batch = spark.createDataFrame([(1, "b1"), (2, None)], "page_id int, mark_generate string")
     log = spark.createDataFrame([(1, 1, T0, 200), (2, 2, T0, 200)], "event_id int, page_id int, ts timestamp_ntz, code int")
