@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame
 
 from crawlspark.llm.common import rows_of, table
 
+#: a comment, a tag (quotes count after an equals sign, where they hide a ">"), or other markup
 TAG = re.compile(
-    r"<(?:!--.*?(?:--!?>|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attributes2>[^>]*+)(?:>|\Z)|[!?/][^>]*+(?:>|\Z))",
+    r"<(?:!--.*?(?:--!?>|\Z)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attributes>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(?:>|\Z)"
+    r"|[!?/][^>]*+(?:>|\Z))",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""(?i)(?<![\w-])(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -53,9 +54,9 @@ NO_ARTICLE = set(
 )
 NO_ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
 NO_WORDS = set(
-    "ad ads adsense advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer"
-    " disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notification overlay pager pagination paywall popup promo promotion"
-    " recommendations recommended related remark reply replies respond share sharing sidebar social sponsor sponsored subscribe subscription"
+    "ad ads adsense advert advertisement alert alerts announcement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer"
+    " disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo promotion"
+    " recommendations recommended related remark remarks reply replies respond share sharing sidebar social sponsor sponsored subscribe subscription"
     " teaser toolbar topbar widget widgets".split()
 )
 COMMENTS = set("comment comments disqus reply replies respond remark".split())
@@ -80,12 +81,12 @@ class Page:
                 break
             self._add(stack[-1], html[at : found.start()])
             at = found.end()
-            name = (found["name"] or found["name2"] or "").lower()
+            name = (found["name"] or "").lower()
             if not name:
                 continue
             if name not in INLINE:
                 self.text.append(None)
-            if found["end"] or found["end2"]:
+            if found["end"]:
                 if count.get(name):
                     while True:
                         top = self.tag[stack.pop()]
@@ -107,7 +108,7 @@ class Page:
                 continue
             self.tag.append(name)
             self.parent.append(stack[-1])
-            self._attributes(found["attributes"] or found["attributes2"] or "")
+            self._attributes(found["attributes"])
             stack.append(len(self.tag) - 1)
             count[name] = count.get(name, 0) + 1
 

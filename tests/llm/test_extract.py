@@ -76,6 +76,7 @@ def test_broken_markup():
     assert main_text(f"<article>{paragraphs(4)}</div></section></article></p></body>") == PROSE
     assert main_text("<div>" * 30000 + paragraphs(4)) == PROSE
     assert main_text(f"<article><a title='unclosed>{paragraphs(4)}").split()[-1] == "end."
+    assert main_text(f"<article><p title=it's>it's</p>{paragraphs(4)}</article>") == f"it's {PROSE}"
     assert "words" in main_text("<p>words, " * 20000)
 
 
