@@ -45,7 +45,7 @@ def test_longest_suffix_wins_and_big_tables_join_the_same(spark, monkeypatch):
     df = spark.createDataFrame([(u,) for u in URLS], "x string")
     small = N.with_suffix(df, U.url_host(X), suffixes(spark)).select("x", "suffix.domain").collect()
     assert dict(small)["http://www.a.co.uk/x?b=1#t"] == "co.uk"
-    monkeypatch.setattr(N, "fits_broadcast", lambda dim: False)
+    monkeypatch.setattr(N, "is_small", lambda rows, size: False)
     salted = N.with_suffix(df, U.url_host(X), suffixes(spark)).select("x", "suffix.domain").collect()
     assert sorted(map(repr, salted)) == sorted(map(repr, small))
 
