@@ -29,7 +29,7 @@ from crawlspark.llm.components import components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 BLOCKS = 4
-#: fingerprints that the upper levels are built on; points in a shard; points compared directly
+#: about so many fingerprints, chosen by hash, build the upper levels; points in a shard; points compared directly
 SAMPLE, SHARD, LEAF = 50_000, 20_000, 96
 MOST_SHARDS = 4096
 FULL = np.uint64(2**64 - 1)
@@ -171,7 +171,8 @@ def close_pairs(distinct: DataFrame) -> DataFrame:
     ``distinct`` (fp) holds every fingerprint once.
     """
     n = distinct.count()
-    sample = [r[0] for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()]
+    chance = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) / float(1 << 30)
+    sample = sorted(r[0] for r in distinct.where(chance < SAMPLE / max(1, n)).collect())
     sample = np.array(sample, np.int64).view(np.uint64)
     shards = min(MOST_SHARDS, -(-n // SHARD))
     forest = [upper_tree(sample, mask, len(sample) / max(1, shards)) for mask in masks()]
