@@ -179,7 +179,7 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, path: str |
         return [], np.ones((len(vocabulary.pieces) + 1, 0))
     share = F.create_map(*chain(*((F.lit(n), F.lit(min(1.0, rows_per_language / sizes[n]))) for n in names)))
     chance = F.pmod(F.xxhash64("doc_id", "lang", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(chance < F.get(F.array(share[F.col("lang")]), F.lit(0)))
+    sample = rows.where(chance < F.try_element_at(share, F.col("lang")))
     place = {n: i for i, n in enumerate(names)}
 
     def count(batches):
