@@ -19,6 +19,8 @@ empty table gives no rows; other columns are not read (``deduplicate`` keeps the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -204,16 +206,20 @@ def close_pairs(distinct: DataFrame) -> DataFrame:
 def classes(docs: DataFrame) -> DataFrame:
     """A row per row of ``docs`` (doc_id, text and any narrow columns): all but the text, with fp, root (a fingerprint
     of the component, the same for all its rows) and component_id, the component's smallest doc_id."""
-    rows = saved(fingerprints(docs), "simhash-rows")
+    return least_ids(saved(fingerprints(docs), "simhash-rows"), close_pairs)
+
+
+def least_ids(rows: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``rows`` (fp, doc_id and others) with root and component_id, by the links among distinct fp."""
     distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    linked = components(saved(close_pairs(distinct), "simhash-links"))
+    linked = components(saved(links_of(distinct), "simhash-links"))
     rooted = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = saved(rooted.withColumn("root", F.coalesce("root", "fp")), "simhash-rooted")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.join(rooted.drop("first").join(least, "root"), "fp")
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
+def deduplicate(docs: DataFrame, classes_of: Callable[[DataFrame], DataFrame] = classes) -> DataFrame:
     """The rows of ``docs`` (all columns) with one document of each component: that of the smallest doc_id, nulls last.
 
     The text's hash breaks ties between different rows of one doc_id; of equal rows one stays.
@@ -221,7 +227,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     mark = F.struct(F.xxhash64("text"), F.coalesce(F.length("text"), F.lit(-1)))
     narrow = docs.select("doc_id", mark.alias("_mark"), "text")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_mark")
-    same = classes(narrow).groupBy("root", "doc_id", "_mark").agg(F.count("*").alias("_n"))
+    same = classes_of(narrow).groupBy("root", "doc_id", "_mark").agg(F.count("*").alias("_n"))
     kept = same.groupBy("root").agg(F.min_by(F.struct("doc_id", "_mark", "_n"), order).alias("k"))
     kept = saved(kept.select(F.col("k.doc_id").alias("_id"), F.col("k._mark").alias("_m"), "k._n"), "simhash-kept")
     # a row travels as one column, so that its names meet none of ours
