@@ -11,7 +11,8 @@ test compares them) at four times the speed. The split pattern is the published
 quantifiers, which match the same strings.
 
 Defined cases: a null or empty text is the end id alone; equal rows are separate items; an empty table gives no rows;
-special tokens' strings in a text are ordinary text; other columns are not read.
+the string of the added token ``END_OF_TEXT`` in a text is that token, as in the tokenizers file's default settings, if
+``end_of_text`` is set (``op7_packing`` and the pipeline), else ordinary text; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from crawlspark.llm.common import rows_of, saved, table
 
 CAPACITY, END = 2048, 0
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: the tokenizers file's added token
+END_OF_TEXT, END_OF_TEXT_ID = "<|endoftext|>", 50_256
 #: the published split of this vocabulary (fixed value), possessive where that can't change a match
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 PARTS, ITEMS_PER_PART = 256, 50_000
@@ -49,12 +52,12 @@ def encoder(path: str):
 
     with open(path, "rb") as file:
         ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, file)}
-    return tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={END_OF_TEXT: END_OF_TEXT_ID})
 
 
-def tokens(path: str, text: str | None) -> bytes:
+def tokens(path: str, text: str | None, end_of_text: bool = False) -> bytes:
     """Little-endian unsigned 32-bit ids of a text and the end id."""
-    ids = encoder(path).encode_to_numpy(text or "", disallowed_special=())
+    ids = encoder(path).encode_to_numpy(text or "", allowed_special={END_OF_TEXT} if end_of_text else set(), disallowed_special=())
     return ids.astype("<u4").tobytes() + END.to_bytes(4, "little")
 
 
@@ -66,7 +69,7 @@ def cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
         start, end = end, end + capacity
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, ids: bool = False, end_of_text: bool = False) -> DataFrame:
     """A row per piece: doc_id, row (tells equal doc_ids apart), piece, start, length, ids_crc32 and, if asked for, its ids."""
     path = path or vocabulary_path()
     schema = "doc_id bigint, row bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * ids
@@ -79,7 +82,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, i
                 keys = [batch.column(c).slice(first, len(texts)).to_pylist() for c in ("doc_id", "row")]
                 out = []
                 for doc, row, text in zip(*keys, texts):
-                    data = tokens(path, text)
+                    data = tokens(path, text, end_of_text)
                     for piece, (start, length) in enumerate(cut(len(data) // 4, capacity)):
                         part = data[4 * start : 4 * (start + length)]
                         one = (doc, row, piece, start, length, zlib.crc32(part))
@@ -276,9 +279,9 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:
-    return packed(table(spark, sf_dir, "documents"))
+    return packed(table(spark, sf_dir, "documents"), end_of_text=True)
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    out = pack(pieces(docs))
+def packed(docs: DataFrame, end_of_text: bool = False) -> DataFrame:
+    out = pack(pieces(docs, end_of_text=end_of_text))
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
