@@ -2,32 +2,37 @@
 
 Put every set in one common order. Two sets of similarity t share a shingle among the first n - ceil(t n) + 1 of each
 (prefix filter), so only documents that meet in such a shingle are candidates, and their whole sets are then compared.
-The order is by frequency in a sample, rare first, then by hash; that balances the work, and the result is exact for any
-sample. Sizes, the places of the shared shingle and the sets' parity bits (one of at least n bits flips for each shingle, so sets
+The order is rare first, by a table of hashed counters over all documents (``tally``), then by hash; the result is exact for
+any order, and what few documents share stays rare however large the corpus is. At the first shingle that two sets share, all they share lies behind it, so its places in both bound the
+similarity. Sizes, these places and the sets' parity bits (one of at least n bits flips for each shingle, so sets
 differ in no fewer shingles than bits) rule out pairs before their sets are read.
 
-A group of m near copies has m * m pairs. Neighbours in each shingle's list are compared first; what they link
-are components, and only pairs of different components that share a prefix shingle are compared after that.
+A group of m near copies has m * m pairs. So each list of a shingle is first cut by a min-hash of its sets, and every set is compared with
+one centre of its part only; ROUNDS different min-hashes follow each other, each over what the ones before left in
+different components. Only pairs of still different components that share a prefix shingle are compared after that. Centres are found by
+map-side combined group-bys, so a shingle that a third of all documents hold is never one task's list.
 
 Shingles are 64-bit hashes and equal sets have one key, a hash of the set. Defined cases: null, empty and blank texts are the
-empty set, equal to each other; a text of fewer words than a shingle is one shingle; words are those of ``simhash``.
+empty set, equal to each other; a text of fewer words than a shingle is one shingle; words are those of ``simhash``; null and repeated
+doc_ids are only carried along, equal rows have equal keys; ``simhash.deduplicate`` settles ties and keeps columns of any name apart.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawlspark.llm.common import rows_of, saved
 from crawlspark.llm.components import components
 from crawlspark.llm.simhash import LOWER, SEED, least_ids
+from crawlspark.llm.tally import tally
 
 #: the similarity is NUMERATOR / DENOMINATOR or more
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 4, 5
-#: about so many documents, chosen by hash, tell frequent shingles; most such shingles; words kept per task
-SAMPLE, FREQUENT, CACHED = 20_000, 400_000, 500_000
+#: hashed counters, their largest value; words kept per task; rounds of comparing with centres
+CELLS, CAP, CACHED, ROUNDS = 1 << 24, (1 << 16) - 1, 500_000, 4
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -106,64 +111,61 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted shingles, their counts) of those that several documents of a sample hold."""
-    chance = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.select("text").where(chance < SAMPLE / max(1, docs.count()))
+def ranks(docs: DataFrame) -> np.ndarray:
+    """How often shingles occur over all documents: a byte per cell, sixteen steps per doubling of the count."""
 
-    def run(batches):
-        for batch in batches:
-            for _, sets in sets_of(batch):
-                yield pa.RecordBatch.from_arrays([signed(np.concatenate(sets))], ["token"])
+    def hashes(batch):
+        for _, sets in sets_of(batch):
+            yield np.concatenate(sets) if sets else np.zeros(0, np.uint64)
 
-    counts = sample.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 2")
-    found = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
-    tokens, n = found.column("token").to_numpy().view(np.uint64), found.column("n").to_numpy()
-    order = np.argsort(tokens)
-    return tokens[order], n[order]
+    return tally(docs.select("text"), hashes, CELLS, CAP, lambda n: np.minimum(255, 16 * np.log2(n + 1)).astype(np.uint8))
 
 
-def prefix(tokens: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def prefix(tokens: np.ndarray, often: np.ndarray) -> np.ndarray:
     """The first n - ceil(t n) + 1 shingles of a set, rare first."""
-    if len(common):
-        at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
-        often = np.where(common[at] == tokens, counts[at], 0)
-        tokens = tokens[np.argsort(often, kind="stable")]
+    tokens = tokens[np.argsort(often[(tokens & np.uint64(len(often) - 1)).astype(np.int64)], kind="stable")]
     n = len(tokens)
     return tokens[: n - -(-n * NUMERATOR // DENOMINATOR) + 1]
 
 
+def min_hashes(tokens: np.ndarray) -> int:
+    """ROUNDS min-hashes of 16 bits each; they only group sets that are likely similar."""
+    found = 0
+    for i in range(ROUNDS):
+        least = int((tokens * np.uint64(2 * i + 1) * ODD ^ tokens >> np.uint64(7 * i + 3)).min())
+        found |= ((least * int(ODD) >> 40) & 0xFFFF) << 16 * i
+    return found
+
+
 def members(docs: DataFrame) -> DataFrame:
-    """(token, fp, n, pos, before) of prefix shingles that sets share; before is the list's member before this one."""
-    common, counts = frequent(docs)
-    shared = docs.sparkSession.sparkContext.broadcast((common, counts))  # FREQUENT at most
+    """(token, fp, n, pos, mins) of prefix shingles that different sets share."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranks(docs))  # CELLS bytes
 
     def run(batches):
         for batch in batches:
             for _, sets in sets_of(batch):
                 sets = [s for s in sets if len(s)]
                 if sets:
-                    parts = [prefix(s, *shared.value) for s in sets]
+                    parts = [prefix(s, shared.value) for s in sets]
                     sizes = [len(p) for p in parts]
                     columns = [
                         signed(np.concatenate(parts)),
                         signed(np.repeat(np.array([key_of(s) for s in sets], np.uint64), sizes)),
                         pa.array(np.repeat([len(s) for s in sets], sizes).astype(np.int32)),
                         pa.array(np.concatenate([np.arange(s) for s in sizes]).astype(np.int32)),
+                        signed(np.repeat(np.array([min_hashes(s) for s in sets], np.uint64), sizes)),
                     ]
-                    yield pa.RecordBatch.from_arrays(columns, ["token", "fp", "n", "pos"])
+                    yield pa.RecordBatch.from_arrays(columns, ["token", "fp", "n", "pos", "mins"])
 
-    rows = docs.select("text").mapInArrow(run, "token long, fp long, n int, pos int")
-    rows = rows.repartition("token").dropDuplicates(["token", "fp"])
-    listed = Window.partitionBy("token").orderBy("fp")
-    rows = rows.withColumn("before", F.lag(F.struct("fp", "n", "pos")).over(listed)).withColumn("after", F.lead("fp").over(listed))
-    return rows.where("before is not null or after is not null").drop("after")
+    rows = saved(docs.select("text").mapInArrow(run, "token long, fp long, n int, pos int, mins long"), "shingles-prefixes")
+    shared = rows.groupBy("token").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least <> most")
+    shared = saved(shared.select("token"), "shingles-shared")
+    return rows.join(shared, "token", "left_semi").dropDuplicates(["token", "fp"])
 
 
 def may_reach(n: Column, pos: Column, n2: Column, pos2: Column) -> Column:
-    """Whether two sets may be similar, from their sizes and the places of a shared shingle, which may have pos before it."""
-    most = F.least(pos, pos2) + F.least(n - pos, n2 - pos2)
-    return most * (NUMERATOR + DENOMINATOR) >= (n + n2) * NUMERATOR
+    """Whether two sets may be similar, from their sizes and the places of the first shingle that they share."""
+    return F.least(n - pos, n2 - pos2) * (NUMERATOR + DENOMINATOR) >= (n + n2) * NUMERATOR
 
 
 def beside(pairs: DataFrame, values: DataFrame, keep) -> DataFrame:
@@ -209,27 +211,44 @@ def similar(pairs: DataFrame, docs: DataFrame, sketches: DataFrame) -> DataFrame
     return beside(pairs, sets, are_similar)
 
 
+def rooted(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` with root, the component of the set by ``links`` so far."""
+    linked = components(links).withColumnRenamed("node", "fp")
+    return saved(found.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "shingles-rooted")
+
+
 def close_pairs(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Links (a, b: keys) whose components are those of all pairs of the similarity; ``rows`` are those of ``keyed``."""
     sketches = saved(rows.groupBy("fp").agg(F.first(F.struct("n", "bits")).alias("value")), "shingles-sketches")
     found = saved(members(docs), "shingles-members")
+    now, links, tried = found.withColumn("root", F.col("fp")), None, None
     fp, n, pos = F.col("fp"), F.col("n"), F.col("pos")
-    near = found.where("before is not null").where(may_reach(n, pos, F.col("before.n"), F.col("before.pos")))
-    near = saved(near.select(F.col("before.fp").alias("a"), fp.alias("b")).distinct(), "shingles-neighbours")
-    links = saved(similar(near, docs, sketches), "shingles-links")
-    linked = components(links).withColumnRenamed("node", "fp")
-    rooted = found.drop("before").join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = saved(rooted, "shingles-rooted")
+    for i in range(ROUNDS):
+        part = F.shiftright("mins", 16 * i).bitwiseAND(0xFFFF)
+        # the larger sets first have the most to share; any centre will do
+        centre = F.max_by(F.struct("fp", "n", "pos", "root"), F.struct(n - pos, F.xxhash64("fp", F.lit(i)))).alias("centre")
+        listed = now.withColumn("part", part)
+        near = listed.join(listed.groupBy("token", "part").agg(centre), ["token", "part"]).where("root <> centre.root")
+        near = near.where(may_reach(n, pos, F.col("centre.n"), F.col("centre.pos")))
+        near = near.select(F.least("centre.fp", "fp").alias("a"), F.greatest("centre.fp", "fp").alias("b")).distinct()
+        near = saved(near if tried is None else near.join(tried, ["a", "b"], "left_anti"), "shingles-near")
+        tried = near if tried is None else tried.union(near)
+        if near.isEmpty():
+            continue
+        more = saved(similar(near, docs, sketches), "shingles-links")
+        links = more if links is None else links.union(more)
+        now = rooted(found, links)
     # a pair of different components has at least one side outside of the list's largest component
-    groups = rooted.groupBy("token", "root").agg(F.count("*").alias("size")).groupBy("token")
+    groups = now.groupBy("token", "root").agg(F.count("*").alias("size")).groupBy("token")
     most = groups.agg(F.max_by("root", F.struct("size", "root")).alias("most"), F.count("*").alias("groups")).where("groups > 1").drop("groups")
-    mixed = saved(rooted.join(most, "token"), "shingles-mixed")
+    mixed = saved(now.join(most, "token"), "shingles-mixed")
     x, y = mixed.where("root != most").alias("x"), mixed.alias("y")
     pairs = x.join(y, F.col("x.token") == F.col("y.token")).where("x.root != y.root and (y.root = y.most or x.fp < y.fp)")
     pairs = pairs.where(may_reach(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos")))
     pairs = pairs.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct()
-    pairs = saved(pairs.join(near, ["a", "b"], "left_anti"), "shingles-pairs")
-    return links.union(similar(pairs, docs, sketches))
+    pairs = saved(pairs.join(tried, ["a", "b"], "left_anti"), "shingles-pairs")
+    last = similar(pairs, docs, sketches)
+    return last if links is None else links.union(last)
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -54,9 +54,10 @@ def rows():
     return [(i, t, "clash") for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("sample", [20_000, 0])
-def test_stage_by_true_similarity(spark, monkeypatch, sample):
-    monkeypatch.setattr(shingles, "SAMPLE", sample)
+@pytest.mark.parametrize("cells, rounds", [(1 << 20, 4), (64, 1)])
+def test_stage_by_true_similarity(spark, monkeypatch, cells, rounds):
+    monkeypatch.setattr(shingles, "CELLS", cells)  # few cells: any order is exact
+    monkeypatch.setattr(shingles, "ROUNDS", rounds)
     found = rows()
     texts = [t for _, t, _ in found]
     root = plain_components(range(len(texts)), plain_links(texts))
