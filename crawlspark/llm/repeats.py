@@ -9,6 +9,10 @@
    bytes with a neighbour in that order.
 4. Documents meet the union of their windows.
 
+``strip`` does the same with words for bytes: a text becomes the sequence of its words' 64-bit hashes, WORD bytes each, so that LENGTH bytes are
+STRIP_WORDS words, and what is removed are words under a sequence of so many words that also starts anywhere else, whatever white space is
+between them.
+
 Steps 1 and 2 lose nothing: they only keep windows from the sort that can't have, or surely have, an equal. A passage that a third
 of all documents hold has one owner per some 140 bytes; its equal stretches are counted map-side, and its occurrences are
 read by a join that splits skewed keys.
@@ -31,6 +35,9 @@ from pyspark.sql import functions as F
 from crawlspark.llm.common import rows_of, saved, table
 
 LENGTH, GRAM = 400, 128
+WORD = 8  # bytes of a word's hash
+STRIP_WORDS = LENGTH // WORD
+CACHED = 500_000  # words whose hashes a task keeps
 BLOCK = 1 << 20  # windows of a text that are looked at together
 SHARD_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15
@@ -100,13 +107,42 @@ def mark() -> Column:
     return F.xxhash64("text")
 
 
-def both(first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    return first.astype(np.int64) << 32 | last
+def plain(text: str | None) -> bytes:
+    return (text or "").encode()
+
+
+WORDS: dict[bytes, bytes] = {}
+
+
+def word_codes(text: str | None) -> bytes:
+    """The hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a text, WORD bytes each."""
+    from xxhash import xxh64_digest
+
+    if len(WORDS) > CACHED:
+        WORDS.clear()
+    out = []
+    for word in (text or "").encode().split():
+        code = WORDS.get(word)
+        if code is None:
+            code = xxh64_digest(word, 42)
+            if len(word) <= 64:
+                WORDS[word] = code
+        out.append(code)
+    return b"".join(out)
 
 
+def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the words of a text, in bytes."""
+    a = np.frombuffer(data, np.uint8)
+    edges = np.diff(np.concatenate([[False], (a != 32) & ((a < 9) | (a > 13)), [False]]).view(np.int8))
+    return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
+def both(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    return first.astype(np.int64) << 32 | last
+
+
+def occurrences(docs: DataFrame, data_of=plain) -> DataFrame:
     """A row per stretch: doc_id, _mark, at (first and last window start as one long), owner and stretch hash."""
 
     def run(batches):
@@ -116,7 +152,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
             for start, texts in rows_of(batch, "text", 256):
                 out, row = [], []
                 for i, text in enumerate(texts):
-                    data = (text or "").encode()
+                    data = data_of(text)
                     for first, last, owner in stretches(data):
                         view = memoryview(data)
                         content = [xxh3_64_intdigest(view[a:b]) for a, b in zip(first.tolist(), (last + LENGTH).tolist())]
@@ -156,10 +192,10 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2] - 1
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """Repeated windows of ``docs`` as rows doc_id, _mark, at (first and last window start); they may overlap."""
+def spans(docs: DataFrame, data_of=plain) -> DataFrame:
+    """Repeated windows of ``docs`` as rows doc_id, _mark, at (first and last window start in ``data_of`` of the text); they may overlap."""
     docs = docs.select("doc_id", "text")
-    every = saved(occurrences(docs), "repeats-stretches")
+    every = saved(occurrences(docs, data_of), "repeats-stretches")
     # written, so that the join is of two plain shuffles, whose hot owners Spark splits
     twice = saved(every.groupBy("owner").agg(F.count("*").alias("n")).where("n > 1").select("owner"), "repeats-twice")
     some = saved(every.join(twice, "owner"), "repeats-shared")
@@ -173,7 +209,7 @@ def spans(docs: DataFrame) -> DataFrame:
     open_ = saved(kinds.join(mixed_owners, "owner").select("owner", (F.col("n") > 1).alias("whole"), "place.*"), "repeats-open")
     release(some)
     size = open_.agg(F.sum(F.col("at").bitwiseAND(0xFFFFFFFF) - F.shiftright("at", 32) + LENGTH)).first()[0] or 0
-    texts = _texts(docs, open_)
+    texts = _texts(docs, open_, data_of)
 
     def compare(batches):
         batches = [b for b in batches if b.num_rows]
@@ -212,7 +248,7 @@ def _with_texts(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     return docs.withColumn("_mark", mark()).join(right, same, how).drop("_id", "_m")
 
 
-def _texts(docs: DataFrame, open_: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, open_: DataFrame, data_of) -> DataFrame:
     """``open_`` with the bytes of each stretch as ``part``."""
     lists = open_.groupBy("doc_id", "_mark").agg(F.collect_list(F.struct("owner", "whole", "at")).alias("wanted"))
 
@@ -221,7 +257,7 @@ def _texts(docs: DataFrame, open_: DataFrame) -> DataFrame:
             for start, texts in rows_of(batch, "text", 128):
                 row, kept, parts = [], [], []
                 for i, text in enumerate(texts):
-                    data = text.encode()
+                    data = data_of(text)
                     for w in batch.column("wanted")[start + i].as_py():
                         row.append(start + i)
                         kept.append((w["owner"], w["whole"], w["at"]))
@@ -249,9 +285,9 @@ def merged(places: list[int] | None) -> list[tuple[int, int]]:
     return out
 
 
-def _cut(docs: DataFrame, fields: dict[str, str], one) -> DataFrame:
+def _cut(docs: DataFrame, fields: dict[str, str], one, data_of=plain) -> DataFrame:
     """``docs`` without text, with columns from ``one(text, its bytes, removed runs)``; ``fields`` are their types."""
-    found = saved(spans(docs), "repeats-spans")
+    found = saved(spans(docs, data_of), "repeats-spans")
     release(found)
     lists = found.groupBy("doc_id", "_mark").agg(F.collect_set("at").alias("_spans"))
     # the other columns travel as one, so that their names meet none of ours
@@ -287,25 +323,23 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def strip(docs: DataFrame) -> DataFrame:
-    """``docs`` (all columns) with the repeated bytes taken out of text, and n_chars, if there is one, counted anew.
-
-    Characters that are covered in part stay. A null text stays null.
+    """``docs`` (all columns) without the words under a sequence of STRIP_WORDS words that also starts anywhere else, same document
+    included; n_chars, if there is one, is counted anew. White space around and other words stay as they are; a null text stays null.
     """
 
     def one(text, data: bytes, removed) -> tuple:
-        kept, at = [], 0
-        for a, b in removed:
-            while a < b and data[a] & 0xC0 == 0x80:
-                a += 1
-            while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
-                b -= 1
-            kept.append(data[at:a])
-            at = b
-        new = None if text is None else (b"".join(kept) + data[at:]).decode()
-        return (new, None if new is None else len(new)) if counted else (new,)
+        if removed:
+            starts, ends = word_spans(data)
+            kept, at = [], 0
+            for a, b in removed:
+                a, b = -(-a // WORD), b // WORD  # whole words only
+                kept.append(data[at : starts[a]])
+                at = ends[b - 1]
+            text = (b"".join(kept) + data[at:]).decode()
+        return (text, None if text is None else len(text)) if counted else (text,)
 
     counted = "n_chars" in docs.columns
-    return _cut(docs, {"text": "string"} | ({"n_chars": "bigint"} if counted else {}), one).select(*docs.columns)
+    return _cut(docs, {"text": "string"} | ({"n_chars": "bigint"} if counted else {}), one, word_codes).select(*docs.columns)
 
 
 def op1_suffix_array(spark, sf_dir: str) -> DataFrame:

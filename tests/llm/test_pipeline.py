@@ -6,9 +6,9 @@ from collections import Counter
 import corpus_pipeline
 from pyspark.sql import functions as F
 from test_packing import check_placement, reference_ids
-from test_repeats import brute as plain_repeats
-from test_simhash import brute as plain_links
-from test_simhash import plain_components, plain_fingerprint
+from test_repeats import brute_strip
+from test_shingles import plain_links, plain_set
+from test_simhash import plain_components
 
 from crawlspark.llm import mixing
 from crawlspark.llm.common import saved
@@ -54,21 +54,20 @@ def test_against_brute_force(spark):
     # documents of letters stay, others go
     assert sorted(map(repr, found["language"])) == sorted(repr(r) for r in rows if any(c.isalpha() for c in r[1] or ""))
     # one row of each group, that of the smallest id
-    fps = {r[1]: plain_fingerprint(r[1]) for r in found["language"]}
-    root = plain_components(set(fps.values()), plain_links(set(fps.values())))
+    texts = sorted({r[1] for r in found["language"]})
+    root = dict(zip(texts, plain_components(range(len(texts)), plain_links(texts)).values()))
+    assert any(plain_set(t) and root[t] != i for i, t in enumerate(texts))
     least = {}
     for r in found["language"]:
-        group = root[fps[r[1]]]
+        group = root[r[1]]
         least[group] = min(least.get(group, r[0]), r[0])
-    assert Counter(root[fps[r[1]]] for r in found["simhash"]) == Counter({g: 1 for g in least})
-    assert all(r[0] == least[root[fps[r[1]]]] for r in found["simhash"]) and set(found["simhash"]) <= set(found["language"])
-    # the bytes that go
-    kept = {(r[0], len(r[1].encode())): r for r in found["simhash"]}
-    removed = {(d, n): k for d, n, k, *_ in plain_repeats([(r[0], r[1]) for r in found["simhash"]])}
-    assert sum(removed.values()) > 1000 and len(found["suffix"]) == len(kept)
-    before, after = sum(n for _, n in kept), sum(len(r[1].encode()) for r in found["suffix"])
-    assert before - after == sum(removed.values())  # no character is cut in two here
-    assert all(r[4] == len(r[1]) for r in found["suffix"])
+    assert Counter(root[r[1]] for r in found["simhash"]) == Counter({g: 1 for g in least})
+    assert all(r[0] == least[root[r[1]]] for r in found["simhash"]) and set(found["simhash"]) <= set(found["language"])
+    # the words that go
+    before = sorted(found["simhash"], key=repr)
+    stripped = brute_strip([r[1] for r in before])
+    want = [(r[0], t, *r[2:4], len(t), *r[5:]) for r, t in zip(before, stripped)]
+    assert Counter(found["suffix"]) == Counter(want) and sum(r[4] for r in before) - sum(r[4] for r in want) > 1000
     # what the mix takes
     takes = {(r["doc_id"], r["source"]): 0 for r in mixing.takes(spark.createDataFrame(found["suffix"], SCHEMA)).collect()}
     for r in mixing.takes(spark.createDataFrame(found["suffix"], SCHEMA)).collect():

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -125,22 +126,42 @@ def test_against_brute_force(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()), key=repr) == brute(rows)
 
 
+def brute_strip(texts):
+    """Texts without the words under a sequence of STRIP_WORDS words that occurs twice."""
+    n, found = R.STRIP_WORDS, [list(re.finditer(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
+    seen = Counter(tuple(m[0] for m in ws[i : i + n]) for ws in found for i in range(len(ws) - n + 1))
+    out = []
+    for text, ws in zip(texts, found):
+        gone = set()
+        for i in range(len(ws) - n + 1):
+            if seen[tuple(m[0] for m in ws[i : i + n])] > 1:
+                gone.update(range(i, i + n))
+        for i in sorted(gone, reverse=True):  # a removed word takes the space to the next removed one along
+            end = ws[i + 1].start() if i + 1 in gone else ws[i].end()
+            text = text[: ws[i].start()] + text[end:]
+        out.append(text)
+    return out
+
+
 def test_strip(spark):
+    rng = random.Random(4)
     rows = corpus()
+
+    def prose(n):
+        return " ".join(f"wörd{rng.randrange(3000)}" for _ in range(n))
+
+    for words in range(45, 62):  # passages planted in otherwise different documents
+        passage = prose(words)
+        rows += [(1000 + words, f"{prose(30)} {passage}\n{prose(rng.randrange(40))}") for _ in range(3)]
+        rows += [(2000 + words, passage.replace(" ", "\n  "))]
+    rows += [(3000, "same " * 49), (3001, "same " * 50), (3002, "other " * 51)]
     docs = spark.createDataFrame([(*r, i, len(r[1] or "")) for i, r in enumerate(rows)], "doc_id long, text string, number int, n_chars long")
-    out = R.strip(docs)
+    out = R.strip(docs.repartition(4))
     assert out.columns == docs.columns
-    out = {r["number"]: r for r in out.collect()}
-    removed = {(d, n): r for d, n, r, *_ in brute(rows)}
-    assert len(out) == len(rows)
-    for i, (doc_id, text) in enumerate(rows):
-        got = out[i]["text"]
-        if text is None:
-            assert got is None
-            continue
-        lost = len(text.encode()) - len(got.encode())
-        most = removed[doc_id, len(text.encode())]
-        assert out[i]["n_chars"] == len(got) and (doc_id == 81 or most - 20 <= lost <= most)
+    got = [r["text"] for r in sorted(out.collect(), key=lambda r: r["number"])]
+    assert got == brute_strip([t for _, t in rows])
+    kept = {i: t for (i, _), t in zip(rows, got) if (i or 0) >= 2000}
+    assert all(bool(kept[2000 + n].strip()) == (n < 50) for n in range(45, 62)) and kept[3001].strip() and not kept[3002].strip()
 
 
 def test_empty(spark):
