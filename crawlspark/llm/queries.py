@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from crawlspark.llm import chat, extract, language, mixing, neighbors, packing, repeats, search, simhash, warc
+from crawlspark.llm import chat, extract, language, leaks, mixing, neighbors, packing, repeats, search, simhash, warc
 
 QUERIES = {
     "op2_extract": extract.op2_extract,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_language": language.op8_language,
     "op7_packing": packing.op7_packing,
     "op10_mixing": mixing.op10_mixing,
+    "op13_decontaminate": leaks.op13_decontaminate,
 }
 ORACLES = {
     "op3_search": search.OP3_SQL,
     "op4_chat": chat.OP4_SQL,
     "op6_warc": warc.OP6_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op13_decontaminate": leaks.OP13_SQL,
 }
