@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from crawlspark.llm import chat, divergence, extract, language, leaks, mixing, neighbors, packing, repeats, search, simhash, warc
+from crawlspark.llm import chat, divergence, extract, language, leaks, mixing, neighbors, packing, phrases, repeats, search, simhash, warc
 
 QUERIES = {
     "op2_extract": extract.op2_extract,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_language": language.op8_language,
     "op7_packing": packing.op7_packing,
     "op10_mixing": mixing.op10_mixing,
+    "op11_phrases": phrases.op11_phrases,
     "op12_divergence": divergence.op12_divergence,
     "op13_decontaminate": leaks.op13_decontaminate,
 }
@@ -23,6 +24,7 @@ ORACLES = {
     "op4_chat": chat.OP4_SQL,
     "op6_warc": warc.OP6_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_phrases": phrases.OP11_SQL,
     "op12_divergence": divergence.OP12_SQL,
     "op13_decontaminate": leaks.OP13_SQL,
 }
