@@ -12,7 +12,8 @@ has the share z of a term that it never uses, so with z and z' for the two group
                      + sum over common terms (abs(p - q) - abs(p - z') - abs(z - q) + abs(z - z'))
 
 where only the last sum needs the index; the second runs over the distinct shares of a row. No pair of postings leaves a task, only a row's accumulator, and those
-of all blocks are added by a group-by. Counts are made in tasks and added map-side, so a source with a third of all rows is no larger than another after that.
+of all blocks are added by a group-by. A table of hashed counters of documents (``tally``, never too low) first rules out most of the terms that too few
+documents of a language hold, so that they are not shuffled; the rest are counted exactly. Counts are made in tasks and added map-side, so a source with a third of all rows is no larger than another after that.
 A language of many groups deals the rows of a block to several tasks, so that the accumulators that a task returns have at most CELLS cells.
 
 Defined cases: null text, lang and source are ''; texts without terms leave their group with N = 0, and languages without kept terms have pairs
@@ -30,27 +31,66 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlspark.llm.common import rows_of, saved, table
+from crawlspark.llm.tally import tally
 
 LEAST_DOCUMENTS, PRIOR, SCALE, TOP = 30, 5, 1_000_000_000, 50
 #: postings of a block, accumulator cells that a task returns, postings looked at together, terms counted before they are handed on
 POSTINGS, CELLS, STEP, HELD = 500_000, 4_000_000, 1 << 18, 300_000
+#: hashed counters
+COUNTERS = 1 << 25
 
 #: A-Z to a-z, a-z and bytes of other alphabets to themselves, all else to a space
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, df): occurrences of each term in a group, and documents that hold it."""
+def terms_of(text: str) -> list[bytes]:
+    """The terms ``[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+`` of a text with A-Z lower-cased."""
+    return text.encode().translate(NORMAL).split()
 
-    def rows(counts: dict) -> pa.RecordBatch:
-        keys, terms, n, df = [], [], [], []
-        for key, (every, held) in counts.items():
-            keys += [key] * len(every)
-            terms += every
-            n += every.values()
-            df += map(held.__getitem__, every)
-        lang, source = zip(*keys)
-        columns = [pa.array(lang), pa.array(source), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(df, pa.int64())]
+
+def hashed(lang: str, terms) -> np.ndarray:
+    from xxhash import xxh64_intdigest
+
+    seed = xxh64_intdigest(lang.encode())
+    return np.fromiter((xxh64_intdigest(t, seed) for t in terms), np.uint64, len(terms))
+
+
+def likely(docs: DataFrame, least: int, counters: int) -> np.ndarray:
+    """A bit per cell: whether (lang, term) of that cell may be held by ``least`` documents."""
+    most = min(255, max(0, least))
+
+    def hashes(batch):
+        held: dict[str, Counter] = {}
+        for start, texts in rows_of(batch, "text", 256):
+            for lang, text in zip(batch.column("lang").slice(start, len(texts)).to_pylist(), texts):
+                held.setdefault(lang, Counter()).update(set(terms_of(text)))
+            if start + 256 >= batch.num_rows or sum(map(len, held.values())) > HELD:
+                for lang, counts in held.items():
+                    times = np.minimum(np.fromiter(counts.values(), np.int64, len(counts)), most)
+                    yield np.repeat(hashed(lang, counts), times)
+                held.clear()
+
+    return tally(docs, hashes, counters, max(1, most), lambda n: np.packbits(n >= most))
+
+
+def term_counts(docs: DataFrame, least: int, counters: int) -> DataFrame:
+    """(lang, source, term, n, df): occurrences of each term in a group, and documents that hold it, of all terms that ``least`` documents
+    of the language may hold."""
+    named = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    shared = docs.sparkSession.sparkContext.broadcast(likely(named.select("lang", "text"), least, counters))  # counters / 8 bytes
+
+    def rows(key: tuple[str, str], every: Counter, held: Counter) -> pa.RecordBatch:
+        at = (hashed(key[0], every) & np.uint64(counters - 1)).astype(np.int64)
+        kept = np.flatnonzero(shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1)
+        terms = list(every)
+        terms = [terms[i] for i in kept.tolist()]
+        columns = [
+            pa.array([key[0]] * len(terms), pa.string()),
+            pa.array([key[1]] * len(terms), pa.string()),
+            pa.array(terms, pa.binary()).cast(pa.string()),
+            pa.array([every[t] for t in terms], pa.int64()),
+            pa.array([held[t] for t in terms], pa.int64()),
+        ]
         return pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "df"])
 
     def run(batches):
@@ -59,20 +99,19 @@ def term_counts(docs: DataFrame) -> DataFrame:
             for start, texts in rows_of(batch, "text", 256):
                 keys = zip(*(batch.column(c).slice(start, len(texts)).to_pylist() for c in ("lang", "source")))
                 for key, text in zip(keys, texts):
-                    found = text.encode().translate(NORMAL).split()
-                    if found:
+                    if found := terms_of(text):
                         if key not in counts:
                             counts[key] = (Counter(), Counter())
                         every, held = counts[key]
                         every.update(found)
                         held.update(set(found))
                 if sum(len(every) for every, _ in counts.values()) > HELD:
-                    yield rows(counts)
+                    for key, (every, held) in counts.items():
+                        yield rows(key, every, held)
                     counts.clear()
-        if counts:
-            yield rows(counts)
+        for key, (every, held) in counts.items():
+            yield rows(key, every, held)
 
-    named = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     found = named.mapInArrow(run, "lang string, source string, term string, n bigint, df bigint")
     return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
@@ -84,10 +123,10 @@ def share(n: Column, total: Column, kept: Column) -> Column:
     return F.when(kept > 0, F.lit(1) + F.call_function("div", top, wide(F.nullif(total + PRIOR * kept, F.lit(0)))))
 
 
-def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP, postings: int = POSTINGS, cells: int = CELLS) -> DataFrame:
+def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP, postings: int = POSTINGS, cells: int = CELLS, counters: int = COUNTERS) -> DataFrame:
     """(lang, source, part, item, value, rank): the pairs of a group with all other sources, and its ``top`` terms above the language's share."""
     docs = docs.select("lang", "source", "text")
-    counts = saved(term_counts(docs), "divergence-counts")
+    counts = saved(term_counts(docs, least, counters), "divergence-counts")
     kept = counts.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.sum("n").alias("all")).where(F.col("df") >= least).drop("df")
     kept = saved(kept, "divergence-kept")
     own = saved(counts.drop("df").join(kept.drop("all"), ["lang", "term"], "left_semi"), "divergence-own")
@@ -124,8 +163,8 @@ def pair_sums(shares: DataFrame, groups: DataFrame, postings: int, cells: int) -
     """(lang, g, h, value) of all pairs g < h of a language's groups."""
     blocks = max(1, -(-shares.count() // postings))
     # the rows of a language with many groups are dealt to several tasks, each with the index of the block
-    tasks = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("peers") * F.col("peers") / cells)) - 1)).alias("task")
-    block = F.pmod(F.xxhash64("term"), F.lit(blocks)).alias("block")
+    tasks = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col("peers") * F.col("peers") / cells)).cast("int") - 1)).alias("task")
+    block = F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int").alias("block")
     index = shares.select("lang", block, tasks, "term", "g", "p")
     every = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("lang", "block", tasks, "g", "peers", "zero", "v")
     keys = ["lang", "block", "task"]
