@@ -1,7 +1,7 @@
 """Language identification by unigram piece models whose segmentations are summed out.
 
 Pieces are those of a fixed public vocabulary. Each language has a probability per piece, learned by expectation
-maximisation over word counts. A word's probability in a language is the sum over all its segmentations into pieces,
+maximisation over the counts of all words of the sample, pieces and words of any length. A word's probability in a language is the sum over all its segmentations into pieces,
 computed by the forward algorithm for many words and all languages at once; a text's is the product over its words.
 
 Words are maximal runs of letters of the lower-cased text, with the vocabulary's word mark in front. Distinct tokens
@@ -15,7 +15,6 @@ results; ties go to the first language by code point; an empty table gives no ro
 
 from __future__ import annotations
 
-import math
 from functools import lru_cache
 from itertools import chain
 
@@ -31,8 +30,8 @@ VOCABULARY = "piece_bpe_32k.model"
 #: about so many labelled rows of each language are learned from, chosen by a hash of the id
 ROWS_PER_LANGUAGE = 2000
 ROUNDS, SMOOTHING, UNKNOWN = 3, 0.05, 1e-7
-LONGEST, MARK = 10, "▁"
-CELLS, CACHED_CHARS = 1 << 20, 8_000_000
+MARK = "▁"
+CELLS, CACHED_CHARS = 1 << 20, 4_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LETTERS = regex.compile(r"\p{L}+")
 
@@ -69,7 +68,9 @@ class Pieces:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         all_ = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-        self.pieces = sorted({p for p in all_ if p == p.lower() and len(p) <= LONGEST and regex.fullmatch(rf"{MARK}?\p{{L}}*", p)})
+        self.pieces = sorted({p for p in all_ if p == p.lower() and regex.fullmatch(rf"{MARK}?\p{{L}}*", p)})
+        self.longest = max(map(len, self.pieces), default=1)
+        self.powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.longest, BASE)]))
         keys = np.concatenate([hashes(coded([p], len(p)))[:, -1] for p in self.pieces])
         self.order = np.argsort(keys)
         self.keys = keys[self.order]
@@ -84,14 +85,11 @@ def pieces_at(path: str) -> Pieces:
     return Pieces(path)
 
 
-POWERS = np.cumprod(np.concatenate([[np.uint64(1)], np.full(LONGEST, BASE)]))
-
-
 def edges(vocabulary: Pieces, prefix: np.ndarray, end: int, live: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """(length, rows, pieces) of what may end at a position in the first ``live`` rows; single unknown characters are piece -1."""
     out = []
-    for k in range(1, min(LONGEST, end) + 1):
-        found = vocabulary.find(prefix[:live, end] - prefix[:live, end - k] * POWERS[k])
+    for k in range(1, min(vocabulary.longest, end) + 1):
+        found = vocabulary.find(prefix[:live, end] - prefix[:live, end - k] * vocabulary.powers[k])
         rows = np.arange(live) if k == 1 else np.flatnonzero(found >= 0)
         if len(rows):
             out.append((k, rows, found[rows]))
@@ -115,15 +113,16 @@ def forward(vocabulary: Pieces, probability: np.ndarray, words: list[str]) -> np
         width = len(marked[0])
         prefix = hashes(coded(marked, width))
         lengths = np.fromiter(map(len, marked), np.int64, len(marked))
-        ring = np.zeros((LONGEST + 1, len(part), probability.shape[1]))
+        size = vocabulary.longest + 1
+        ring = np.zeros((size, len(part), probability.shape[1]))
         ring[0] = 1
         scale = np.zeros((len(part), probability.shape[1]))
         for end in range(1, width + 1):
             live = int(np.searchsorted(-lengths, -end, side="right"))
-            now = ring[end % (LONGEST + 1)]
+            now = ring[end % size]
             now[:live] = 0
             for k, rows, found in edges(vocabulary, prefix, end, live):
-                now[rows] += ring[(end - k) % (LONGEST + 1), rows] * probability[found]
+                now[rows] += ring[(end - k) % size, rows] * probability[found]
             if end % 16 == 0:  # keep the numbers in range
                 top = np.maximum(now[:live], 1e-300)
                 ring[:, :live] /= top
@@ -137,9 +136,6 @@ def expected(vocabulary: Pieces, probability: np.ndarray, words: list[str], lang
     """Expected uses (pieces + 1, languages) of each piece, by forward and backward sums over each word's segmentations."""
     out = np.zeros_like(probability)
     for part in batches_by_length(words):
-        part = [i for i in part if len(words[i]) <= 40] if len(words[part[0]]) > 40 else part  # longer runs are no words to learn from
-        if not part:
-            continue
         marked = [MARK + words[i] for i in part]
         width, of, weight = len(marked[0]), languages[part], counts[part]
         prefix = hashes(coded(marked, width))
@@ -297,13 +293,3 @@ def op8_language(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     narrow = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     return identify(narrow, fit(docs)).select("doc_id", "held_out", "lang_pred", "score")
-
-
-def brute(probability: dict[str, float], word: str) -> float:
-    """Log of the sum over all segmentations of a marked word, by listing them; for tests."""
-    def total(rest: str) -> float:
-        if not rest:
-            return 1.0
-        return sum(probability.get(rest[:k], UNKNOWN if k == 1 else 0.0) * total(rest[k:]) for k in range(1, min(LONGEST, len(rest)) + 1))
-
-    return math.log(total(MARK + word))

@@ -37,7 +37,7 @@ from crawlspark.llm.common import rows_of, saved, table
 LENGTH, GRAM = 400, 128
 WORD = 8  # bytes of a word's hash
 STRIP_WORDS = LENGTH // WORD
-CACHED = 500_000  # words whose hashes a task keeps
+CACHED = 200_000  # words whose hashes a task keeps
 BLOCK = 1 << 20  # windows of a text that are looked at together
 SHARD_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15

@@ -32,7 +32,7 @@ from crawlspark.llm.tally import tally
 #: the similarity is NUMERATOR / DENOMINATOR or more
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 4, 5
 #: hashed counters, their largest value; words kept per task; rounds of comparing with centres
-CELLS, CAP, CACHED, ROUNDS = 1 << 24, (1 << 16) - 1, 500_000, 4
+CELLS, CAP, CACHED, ROUNDS = 1 << 24, (1 << 16) - 1, 200_000, 3
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -195,10 +195,8 @@ def are_similar(x: bytes, y: bytes) -> bool:
     return both * DENOMINATOR >= (len(x) + len(y) - both) * NUMERATOR
 
 
-def similar(pairs: DataFrame, docs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b: keys) whose sets have the similarity."""
-    pairs = saved(beside(pairs, sketches, may_be_similar), "shingles-likely")
-    needed = saved(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "fp"), "shingles-needed")
+def sets_by_key(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(fp, value) of the sets of ``keys`` (fp), their shingles as bytes; written once for all rounds."""
 
     def run(batches):
         for batch in batches:
@@ -206,9 +204,13 @@ def similar(pairs: DataFrame, docs: DataFrame, sketches: DataFrame) -> DataFrame
                 keys = signed([key_of(s) for s in sets])
                 yield pa.RecordBatch.from_arrays([keys, pa.array([s.tobytes() for s in sets], pa.binary())], ["fp", "tokens"])
 
-    sets = docs.select("text").mapInArrow(run, "fp long, tokens binary").join(needed, "fp", "left_semi")
-    sets = saved(sets.groupBy("fp").agg(F.first("tokens").alias("value")), "shingles-sets")
-    return beside(pairs, sets, are_similar)
+    sets = docs.select("text").mapInArrow(run, "fp long, tokens binary").join(keys, "fp", "left_semi")
+    return saved(sets.groupBy("fp").agg(F.first("tokens").alias("value")), "shingles-sets")
+
+
+def similar(pairs: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b: keys) whose sets have the similarity."""
+    return beside(saved(beside(pairs, sketches, may_be_similar), "shingles-likely"), sets, are_similar)
 
 
 def rooted(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -221,6 +223,7 @@ def close_pairs(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Links (a, b: keys) whose components are those of all pairs of the similarity; ``rows`` are those of ``keyed``."""
     sketches = saved(rows.groupBy("fp").agg(F.first(F.struct("n", "bits")).alias("value")), "shingles-sketches")
     found = saved(members(docs), "shingles-members")
+    sets = sets_by_key(docs, saved(found.select("fp").distinct(), "shingles-needed"))
     now, links, tried = found.withColumn("root", F.col("fp")), None, None
     fp, n, pos = F.col("fp"), F.col("n"), F.col("pos")
     for i in range(ROUNDS):
@@ -235,7 +238,7 @@ def close_pairs(docs: DataFrame, rows: DataFrame) -> DataFrame:
         tried = near if tried is None else tried.union(near)
         if near.isEmpty():
             continue
-        more = saved(similar(near, docs, sketches), "shingles-links")
+        more = saved(similar(near, sets, sketches), "shingles-links")
         links = more if links is None else links.union(more)
         now = rooted(found, links)
     # a pair of different components has at least one side outside of the list's largest component
@@ -247,7 +250,7 @@ def close_pairs(docs: DataFrame, rows: DataFrame) -> DataFrame:
     pairs = pairs.where(may_reach(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos")))
     pairs = pairs.select(F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")).distinct()
     pairs = saved(pairs.join(tried, ["a", "b"], "left_anti"), "shingles-pairs")
-    last = similar(pairs, docs, sketches)
+    last = similar(pairs, sets, sketches)
     return last if links is None else links.union(last)
 
 
