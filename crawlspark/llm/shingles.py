@@ -26,11 +26,14 @@ from pyspark.sql import functions as F
 
 from crawlspark.llm.common import rows_of, saved
 from crawlspark.llm.components import components
+from crawlspark.llm.repeats import release
 from crawlspark.llm.simhash import LOWER, SEED, least_ids
-from crawlspark.llm.tally import tally
+from crawlspark.llm.tally import bits, marked, tally
 
 #: the similarity is NUMERATOR / DENOMINATOR or more
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 4, 5
+#: cells of the table of shared prefix shingles
+SEEN = 1 << 26
 #: hashed counters, their largest value; words kept per task; rounds of comparing with centres
 CELLS, CAP, CACHED, ROUNDS = 1 << 24, (1 << 16) - 1, 200_000, 3
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -137,6 +140,21 @@ def min_hashes(tokens: np.ndarray) -> int:
     return found
 
 
+def unsigned(column: str):
+    return lambda batch: [batch.column(column).to_numpy(zero_copy_only=False).view(np.uint64)]
+
+
+def likely(rows: DataFrame, column: str, found: np.ndarray) -> DataFrame:
+    """Rows whose ``column``, a hash, has a cell that is set; what is left out need not be shuffled."""
+    shared = rows.sparkSession.sparkContext.broadcast(found)  # SEEN bits
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(marked(shared.value, *unsigned(column)(batch))))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def members(docs: DataFrame) -> DataFrame:
     """(token, fp, n, pos, mins) of prefix shingles that different sets share."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks(docs))  # CELLS bytes
@@ -158,6 +176,8 @@ def members(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(columns, ["token", "fp", "n", "pos", "mins"])
 
     rows = saved(docs.select("text").mapInArrow(run, "token long, fp long, n int, pos int, mins long"), "shingles-prefixes")
+    rows = likely(rows, "token", bits(rows.select("token"), unsigned("token"), SEEN, 2))
+    release(rows)
     shared = rows.groupBy("token").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least <> most")
     shared = saved(shared.select("token"), "shingles-shared")
     return rows.join(shared, "token", "left_semi").dropDuplicates(["token", "fp"])
@@ -197,12 +217,14 @@ def are_similar(x: bytes, y: bytes) -> bool:
 
 def sets_by_key(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """(fp, value) of the sets of ``keys`` (fp), their shingles as bytes; written once for all rounds."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits(keys, unsigned("fp"), SEEN // 8, 1))  # SEEN / 8 bits
 
     def run(batches):
         for batch in batches:
             for _, sets in sets_of(batch):
-                keys = signed([key_of(s) for s in sets])
-                yield pa.RecordBatch.from_arrays([keys, pa.array([s.tobytes() for s in sets], pa.binary())], ["fp", "tokens"])
+                found = np.array([key_of(s) for s in sets], np.uint64)
+                kept = np.flatnonzero(marked(shared.value, found))
+                yield pa.RecordBatch.from_arrays([signed(found[kept]), pa.array([sets[i].tobytes() for i in kept], pa.binary())], ["fp", "tokens"])
 
     sets = docs.select("text").mapInArrow(run, "fp long, tokens binary").join(keys, "fp", "left_semi")
     return saved(sets.groupBy("fp").agg(F.first("tokens").alias("value")), "shingles-sets")
@@ -223,7 +245,9 @@ def close_pairs(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Links (a, b: keys) whose components are those of all pairs of the similarity; ``rows`` are those of ``keyed``."""
     sketches = saved(rows.groupBy("fp").agg(F.first(F.struct("n", "bits")).alias("value")), "shingles-sketches")
     found = saved(members(docs), "shingles-members")
+    release(found)
     sets = sets_by_key(docs, saved(found.select("fp").distinct(), "shingles-needed"))
+    release(sets)
     now, links, tried = found.withColumn("root", F.col("fp")), None, None
     fp, n, pos = F.col("fp"), F.col("n"), F.col("pos")
     for i in range(ROUNDS):
@@ -241,6 +265,7 @@ def close_pairs(docs: DataFrame, rows: DataFrame) -> DataFrame:
         more = saved(similar(near, sets, sketches), "shingles-links")
         links = more if links is None else links.union(more)
         now = rooted(found, links)
+        release(now)
     # a pair of different components has at least one side outside of the list's largest component
     groups = now.groupBy("token", "root").agg(F.count("*").alias("size")).groupBy("token")
     most = groups.agg(F.max_by("root", F.struct("size", "root")).alias("most"), F.count("*").alias("groups")).where("groups > 1").drop("groups")

@@ -68,3 +68,14 @@ def tally(
     for r in rows:
         out[r["chunk"] * len(empty) : (r["chunk"] + 1) * len(empty)] = np.frombuffer(r["counts"], empty.dtype)
     return out
+
+
+def bits(docs: DataFrame, hashes_of, cells: int, least: int) -> np.ndarray:
+    """A bit per cell: whether ``least`` or more hashes fall into it."""
+    return tally(docs, hashes_of, cells, least, lambda n: np.packbits(n >= least))
+
+
+def marked(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the cells of unsigned 64-bit hashes are set in ``bits``."""
+    at = (hashes & np.uint64(8 * len(found) - 1)).astype(np.int64)
+    return (found[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
