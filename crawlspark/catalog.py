@@ -24,9 +24,12 @@ from crawlspark.operators import seeds as Q
 from crawlspark.operators import state as S
 from crawlspark.operators import tolerant as T
 from crawlspark.operators.lookup import lookup_join
+from crawlspark.operators.redirects import follow_redirects
 from crawlspark.plans import jobs as J
 from crawlspark.plans.rounds import crawl_rounds
+from crawlspark.session import work_dir
 from crawlspark.sources import xml as XS
+from crawlspark.sources.buckets import put, write_buckets
 from crawlspark.sources.responses import fetch_content
 from crawlspark.sources.text import split_seed_text
 from crawlspark.sources.webdb import upsert
@@ -218,6 +221,15 @@ def webdb_upsert(fx: Fixture) -> DataFrame:
     return upsert(table, changed.unionByName(once), "page_id", "version")
 
 
+@query("webdb_put", ORACLES["webdb_upsert"])
+def webdb_put(fx: Fixture) -> DataFrame:
+    table = fx.view("webdb").select("page_id", "url", "is_seed", "fetch_count", F.lit(0).alias("version"))
+    base = write_buckets(table, work_dir(fx.spark, "webdb-put"), PARTITIONS, "page_id")
+    changed = base.where("page_id % 4 = 0")
+    once = changed.withColumns({"fetch_count": F.col("fetch_count") + 1, "version": F.lit(1)})
+    return put(base, changed.unionByName(once), PARTITIONS, "page_id", "version")
+
+
 @query(
     "index_write",
     f"""with picked as (
@@ -921,6 +933,38 @@ def redirect_representative(fx: Fixture) -> DataFrame:
     return J.canonical_redirects(fx.view("redirects"), fx.view("suffixes")).select("page_id", "chosen")
 
 
+@query(
+    "redirect_chains",
+    """with recursive hop as (
+  select page_id, url, cast(page_id // 50 * 50 as bigint) as first, row_number() over (order by page_id) as i from pages),
+moves as (
+  -- runs of fifty pages, each to the next; the last one to nowhere, to the run's first page (a cycle) or to one hub
+  select a.url as src, case when b.first = a.first then b.url when a.first % 150 = 0 then f.url when a.first % 150 = 50 then 'http://hub.example.com/' end as dst,
+         a.page_id % 2 = 0 as temp
+  from hop a left join hop b on b.page_id = a.page_id + 1 join hop f on f.page_id = a.first),
+real as (select src, min(dst) as dst, arg_min(temp, dst) as temp from moves where dst is not null and src <> dst group by src),
+walk as (
+  select src, dst as target, 1 as hops, temp, false as closed from real
+  union all
+  select w.src, r.dst, w.hops + 1, w.temp or r.temp, r.dst = w.src from walk w join real r on r.src = w.target where not w.closed and w.hops < 60)
+select src, case when bool_or(closed) then src else arg_max(target, hops) end as target, cast(case when bool_or(closed) then 0 else max(hops) end as bigint) as hops,
+       not bool_or(closed) and bool_or(temp) as temporary, bool_or(closed) as cyclic
+from walk group by src""",
+)
+def redirect_chains(fx: Fixture) -> DataFrame:
+    pages = fx.table("pages").select("page_id", "url", (F.floor(F.col("page_id") / 50) * 50).alias("first"))
+    after = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next"), F.col("first").alias("run"))
+    heads = pages.where("page_id = first").select("first", F.col("url").alias("head"))
+    runs = pages.join(after, "page_id", "left").join(heads, "first")
+    dst = (
+        F.when(F.col("run") == F.col("first"), F.col("next"))
+        .when(F.col("first") % 150 == 0, F.col("head"))
+        .when(F.col("first") % 150 == 50, F.lit("http://hub.example.com/"))
+    )
+    return follow_redirects(runs.select(F.col("url").alias("src"), dst.alias("dst"), (F.col("page_id") % 2 == 0).alias("temp")))
+
+
+
 @query("url_reverse_key", f"select page_id, {_key('url')} as key, url as back from pages")
 def url_reverse_key(fx: Fixture) -> DataFrame:
     keys = keyed(fx.table("pages"))
@@ -1160,12 +1204,12 @@ def extract_outlinks_tolerant(fx: Fixture) -> DataFrame:
 @query(
     "seed_anchors",
     f"""select page_id, href, to_url, anchor from (
-  select page_id, href, concat({_origin("url")}, href) as to_url, {_decode("anchor")} as anchor from links where page_id % 7 = 0) t
+  select page_id, href, concat({_origin("url")}, href) as to_url, {_decode("anchor")} as anchor from links) t
 where length(to_url) between 10 and 200 and length(anchor) between 5 and 50 and {_host("to_url")} <> ''""",
     "links",
 )
 def seed_anchors(fx: Fixture) -> DataFrame:
-    pages = fx.table("pages").withColumn("is_seed", F.col("page_id") % 7 == 0)
+    pages = fx.table("pages").withColumn("is_seed", F.lit(True))
     coded = L.outlink_codes(L.seed_anchors(pages, ["page_id"]), O.default_options())
     return coded.where("code = 0").select("page_id", "href", "to_url", "anchor")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crawlspark.operators.lookup import fits_broadcast
 from crawlspark.operators.state import protocol_status
 
 
@@ -19,7 +20,8 @@ def fetch_content(
 ) -> DataFrame:
     """Batch pages with their latest response code, protocol status and, on success, content.
 
-    Pages are matched to responses before content is read, and only successes read content. With ``as_of`` later responses
+    Pages are matched to responses before content is read, and only successes' content goes further than the scan (broadcast keys, if
+    the batch is small enough). With ``as_of`` later responses
     (and captures, if the archive has their time in ``captured``) don't count. Of several captures of a page the latest is
     its content, ties by hash, so a page stays one row.
     """
@@ -33,6 +35,9 @@ def fetch_content(
     copies = archive.select(key, html, *([captured] if captured else []))
     if captured and as_of is not None:
         copies = copies.where(F.col(captured) <= as_of)
+    # of the archive only the successes' captures are hashed, sorted or moved
+    wanted = known.where(F.col("protocol_status") == "SUCCESS").select(key).distinct()
+    copies = copies.join(F.broadcast(wanted) if fits_broadcast(batch.select(key)) else wanted, key, "left_semi")
     order = F.struct(*([F.col(captured)] if captured else []), F.xxhash64(html))
     content = copies.groupBy(key).agg(F.max_by(html, order).alias(html))
     wanted = known.withColumn("_key", F.when(F.col("protocol_status") == "SUCCESS", F.col(key)))
