@@ -33,9 +33,9 @@ from crawlspark.llm.tally import bits, marked, tally
 #: the similarity is NUMERATOR / DENOMINATOR or more
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 4, 5
 #: cells of the table of shared prefix shingles
-SEEN = 1 << 26
+SEEN = 1 << 25
 #: hashed counters, their largest value; words kept per task; rounds of comparing with centres
-CELLS, CAP, CACHED, ROUNDS = 1 << 24, (1 << 16) - 1, 200_000, 3
+CELLS, CAP, CACHED, ROUNDS = 1 << 24, (1 << 16) - 1, 100_000, 3
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -279,7 +279,17 @@ def close_pairs(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return last if links is None else links.union(last)
 
 
+#: rows that Spark hands to Python at a time; a row holds a whole text, or two sets
+BATCH, BATCH_SETTING = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """As ``simhash.classes``, but by shingle sets."""
-    rows = saved(keyed(docs), "shingles-rows")
-    return least_ids(rows.drop("n", "bits"), lambda distinct: close_pairs(docs, rows))
+    conf = docs.sparkSession.conf
+    before = conf.get(BATCH_SETTING)
+    conf.set(BATCH_SETTING, min(BATCH, int(before)) if int(before) > 0 else BATCH)
+    try:
+        rows = saved(keyed(docs), "shingles-rows")
+        return least_ids(rows.drop("n", "bits"), lambda distinct: close_pairs(docs, rows))
+    finally:
+        conf.set(BATCH_SETTING, before)
