@@ -279,17 +279,20 @@ def close_pairs(docs: DataFrame, rows: DataFrame) -> DataFrame:
     return last if links is None else links.union(last)
 
 
-#: rows that Spark hands to Python at a time; a row holds a whole text, or two sets
-BATCH, BATCH_SETTING = 2000, "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: rows and bytes that Spark hands to Python at a time, unless the session has less; a row holds a whole text, or two sets
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """As ``simhash.classes``, but by shingle sets."""
     conf = docs.sparkSession.conf
-    before = conf.get(BATCH_SETTING)
-    conf.set(BATCH_SETTING, min(BATCH, int(before)) if int(before) > 0 else BATCH)
+    before = {name: conf.get(name) for name in BATCHES}
+    for name, most in BATCHES.items():
+        set_to = before[name].rstrip("Bb")
+        conf.set(name, str(min(most, int(set_to))) if set_to.isdigit() and int(set_to) > 0 else str(most))
     try:
         rows = saved(keyed(docs), "shingles-rows")
         return least_ids(rows.drop("n", "bits"), lambda distinct: close_pairs(docs, rows))
     finally:
-        conf.set(BATCH_SETTING, before)
+        for name, value in before.items():
+            conf.set(name, value)
