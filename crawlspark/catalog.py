@@ -16,6 +16,7 @@ from crawlspark.functions.html import decode_entities
 from crawlspark.operators import counters as K
 from crawlspark.operators import docs as D
 from crawlspark.operators import domains as N
+from crawlspark.operators import entities as E
 from crawlspark.operators import frontier as R
 from crawlspark.operators import links as L
 from crawlspark.operators import pageindex as X
@@ -1056,6 +1057,46 @@ def field_extractors(fx: Fixture) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _with_paths(fx: Fixture) -> DataFrame:
+    """Pages with seed options whose CSS paths differ by page."""
+    forms = F.array(
+        F.lit("-e a -ed article -Fheading=h1 -Fad=.ad -c n -cd nav -ci li -FFlink=a"),
+        F.lit('-Fheading=article%>%h1 -Fad=div[class="ad"] -cd body -ci nav>ul>li -FFlink=a[href^="/"]'),
+        F.lit("-Fheading=.ad+article%h1:first-of-type,h2 -Fad=body%>%:nth-child(2) -cd nav -ci li:nth-child(odd) -FFlink=*"),
+    )
+    pages = fx.table("pages").withColumn("args", F.get(forms, (F.col("page_id") % 3).cast("int")))
+    fields = {name: O.field_extractors(F.col("args"), flag) for name, flag in (("fields", "F"), ("sub_fields", "FF"))}
+    return pages.withColumns({"opts": O.parse_options(F.col("args")), **fields})
+
+
+_PLAIN = "replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+_ENTITY_SQL = f"""
+select page_id, item, field, trim(regexp_replace({_PLAIN.format("value")}, '[ \\t\\r\\n]+', ' ', 'g')) as value from (
+  select page_id, 0 as item, 'heading' as field, regexp_extract(html, '<h1>([^<]*)</h1>', 1) as value from pages
+  union all
+  select page_id, 0, 'ad', regexp_extract(html, '<div class="ad">([^<]*)</div>', 1) from pages where page_id % 3 <> 0
+  union all
+  select page_id, cast(case when page_id % 3 = 2 then (n + 1) // 2 else n end as int), 'link', link from (
+    select page_id, unnest(links) as link, unnest(range(1, len(links) + 1)) as n
+    from (select page_id, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) as links from pages) a) b
+  where page_id % 3 <> 2 or n % 2 = 1) t"""
+
+
+@query("entity_fields", _ENTITY_SQL)
+def entity_fields(fx: Fixture) -> DataFrame:
+    found = E.with_entities(_with_paths(fx)).select("page_id", F.explode("entities").alias("e"))
+    return found.select("page_id", "e.*")
+
+
+@query(
+    "entity_index",
+    f"""select page_id as id, field, cast(item + 2 as int) as rnk, value from ({_ENTITY_SQL}) w where item <= 1""",
+)
+def entity_index(fx: Fixture) -> DataFrame:
+    pages = _with_paths(fx).withColumns({"fetch_code": F.lit(0), "crawl_opts": F.col("args")})
+    return J.index_fields(pages, "page_id", paths=True).where("field in ('heading', 'ad', 'link')")
+
+
 @query(
     "duration_parse",
     """select page_id, case page_id % 6 when 0 then page_id when 1 then page_id * 60 when 2 then page_id * 3600

@@ -26,12 +26,13 @@ def base_entity(key: str = "key", url: str = "url", crawl_opts: str = "crawl_opt
 
 
 def page_fields(
-    pages: DataFrame, key: str, entities: list[dict[str, Column]], limit: int | None = None
+    pages: DataFrame, key: str, entities: list[dict[str, Column]], limit: int | None = None, more: Column | None = None
 ) -> DataFrame:
     """Fields of a page's entities, rank = place of the entity; the first writer of a name wins.
 
     A page's entities are columns of one row, so they merge without a shuffle. Missing values and
-    values of entities after the first that reach ``limit`` characters write nothing.
+    values of entities after the first that reach ``limit`` characters write nothing. ``more`` are further
+    writes (field, rnk, value) of the page in an array, after those of the entities.
     """
     writes = []
     for rank, entity in enumerate(entities):
@@ -42,7 +43,9 @@ def page_fields(
             writes.append(F.struct(F.lit(name).alias("field"), F.lit(rank).alias("rnk"), value.alias("value")))
     kept = F.filter(F.array(*writes), lambda w: w["value"].isNotNull())
     names = [name for entity in entities for name in entity]
-    if len(set(names)) < len(names):
+    if more is not None:
+        kept = F.concat(kept, F.coalesce(more, F.array().cast("array<struct<field:string,rnk:int,value:string>>")))
+    if more is not None or len(set(names)) < len(names):
         kept = let(kept, lambda ws: F.filter(ws, lambda w, i: F.array_position(F.transform(ws, lambda x: x["field"]), w["field"]) == i + 1))
     return pages.select(F.col(key).alias("id"), F.explode(kept).alias("w")).select("id", "w.*")
 

@@ -12,6 +12,7 @@ from crawlspark.functions.options import default_options
 from crawlspark.operators import counters as K
 from crawlspark.operators import docs as D
 from crawlspark.operators import domains as N
+from crawlspark.operators import entities as E
 from crawlspark.operators import frontier as R
 from crawlspark.operators import links as L
 from crawlspark.operators import pages as P
@@ -87,15 +88,24 @@ def accepted_outlinks(fetched: DataFrame, key: str = "page_id", old: DataFrame |
 
 
 def index_fields(
-    fetched: DataFrame, key: str = "key", html: str = "html", entities: list[dict[str, Column]] | None = None, max_length: int | None = None
+    fetched: DataFrame,
+    key: str = "key",
+    html: str = "html",
+    entities: list[dict[str, Column]] | None = None,
+    max_length: int | None = None,
+    paths: bool = False,
 ) -> DataFrame:
     """Index document fields of fetched pages: base fields, extracted content, then ``entities``.
 
+    With ``paths`` the entity and collection fields of each page's own options (opts, fields, sub_fields) come last.
+
     One pass over the content: pages that robots keep out of the index only write base fields. With ``max_length``
     values of that many characters or more are left out.
     """
     ok = P.robots_meta(P.with_head(fetched.where("fetch_code = 0"), html), html=html)
     shown = ok.withColumns({html: F.when(~F.col("no_index"), F.col(html)), "_head": F.when(~F.col("no_index"), F.col("_head"))})
+    if paths:
+        shown = E.with_entities(shown, html, out="_entities")
     content = P.charset_resolution(P.page_times(P.main_content(shown, html), html), F.encode(html, "UTF-8"), F.lit(None).cast("string"))
     extracted = {
         "title": F.col("content_title"),
@@ -106,7 +116,9 @@ def index_fields(
         "publish_time": F.col("publish_time"),
         "modified_time": F.col("modified_time"),
     }
-    return D.page_fields(content, key, [D.base_entity(key), extracted, *(entities or [])], max_length)
+    written = [D.base_entity(key), extracted, *(entities or [])]
+    more = E.entity_writes(F.col("_entities"), len(written), max_length) if paths else None
+    return D.page_fields(content, key, written, max_length, more)
 
 
 def fetch_index(
