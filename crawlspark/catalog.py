@@ -329,6 +329,60 @@ def outlink_filter(fx: Fixture) -> DataFrame:
     return coded.select("page_id", "pos", "to_url", "anchor", "code")
 
 
+def _close(exact: str) -> str:
+    return f"{exact} as exact, true as within_2_percent"
+
+
+@query(
+    "distinct_counters",
+    f"""select 'hosts' as name, {_close("count(distinct host)")} from (
+  select split_part(substr(url, strpos(url, '://') + 3), '/', 1) as host from links) t
+union all
+select 'urls', {_close("count(distinct u)")} from (select concat({_origin("url")}, href) as u from links) t
+union all
+select 'users', {_close("count(distinct user_id)")} from events
+union all
+select 'events', {_close("count(distinct event_id)")} from events""",
+    "links",
+)
+def distinct_counters(fx: Fixture) -> DataFrame:
+    links = fx.view("links").select("page_id", U.resolve(U.base_parts(F.col("url")), F.col("href")).alias("to_url"))
+    events = fx.table("events")
+    parts = [
+        (links, F.col("page_id"), {"hosts": U.url_host(F.col("to_url")), "urls": F.col("to_url")}),
+        (events, F.col("event_id"), {"users": F.col("user_id"), "events": F.col("event_id")}),
+    ]
+    out = None
+    for rows, number, counted in parts:
+        # three rounds that share values, each with its own sketches
+        rounds = [K.distinct_sketches(rows.where(number % 3 == r), counted) for r in range(3)]
+        estimates = K.distinct_estimates(rounds[0].unionByName(rounds[1]).unionByName(rounds[2])).withColumnRenamed("value", "estimate")
+        both = K.distinct_counts(rows, counted).join(estimates, "name")
+        both = both.select("name", F.col("value").alias("exact"), (F.abs(F.col("estimate") - F.col("value")) <= 0.02 * F.col("value")).alias("within_2_percent"))
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+@query(
+    "outlink_extra_rule",
+    f"""select page_id, pos, to_url, anchor, cast(case when code <> 0 then code when contains(to_url, 'an') then 301
+  when length(anchor) > 8 then 302 else 0 end as int) as code from ({_OUTLINK_SQL}) w""",
+    "links",
+)
+def outlink_extra_rule(fx: Fixture) -> DataFrame:
+    """A caller's own rule on top of the built-in ones."""
+
+    def rule(url: Column, anchor: Column) -> Column:
+        return F.when(F.contains(url, F.lit("an")), 301).when(F.length(anchor) > 8, 302).otherwise(0)
+
+    links = _fixture_links(fx).withColumn("opts", O.parse_options(F.lit("-umax 60")))
+    links = N.with_group(N.with_group(links, F.col("url"), name="_s"), F.col("to_url"), name="_t")
+    coded = L.outlink_codes(
+        links, F.col("opts"), known=F.col("pos") % 3 == 0, source_group="_s", target_group="_t", ignore_external=True, extra=rule
+    )
+    return coded.select("page_id", "pos", "to_url", "anchor", "code")
+
+
 @query(
     "link_filter",
     f"""select page_id, pos, to_url,

@@ -108,3 +108,27 @@ def counter_lookup(counters: DataFrame, grp: str, name: str, missing: int = -1)
     """Value of one counter, ``missing`` when there is none."""
     hit = F.when((F.col("grp") == grp) & (F.col("name") == name), F.col("value"))
     return counters.agg(F.coalesce(F.max(hit), F.lit(missing).cast("bigint")).alias("value"))
+
+
+#: buckets of a sketch are 2 to this power: an error of about 0.8 % one time in three, 16 KB a sketch
+SKETCH_SIZE = 14
+
+
+def distinct_sketches(rows: DataFrame, counted: dict[str, Column], log_size: int = SKETCH_SIZE) -> DataFrame:
+    """One row with a sketch for each name's distinct values, to be kept with the round that it is of.
+
+    Tasks fill sketches of a fixed size, so nothing but these is shuffled. Nulls are not counted; without any value the sketch is empty.
+    """
+    return rows.agg(*[F.hll_sketch_agg(value.cast("string"), log_size).alias(name) for name, value in counted.items()])
+
+
+def distinct_estimates(sketches: DataFrame) -> DataFrame:
+    """(name, value) over all rounds' sketches: what several rounds saw counts once."""
+    return _long(sketches.agg(*[F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(name)), F.lit(0)).alias(name) for name in sketches.columns]))
+
+
+def distinct_counts(rows: DataFrame, counted: dict[str, Column]) -> DataFrame:
+    """(name, value) of the exact numbers, from the rows themselves: the values are shuffled, once each per task."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), v.cast("string").alias("v")) for n, v in counted.items()]))
+    distinct = rows.select(pairs.alias("p")).select("p.*").distinct()
+    return distinct.groupBy("name").agg(F.count("v").alias("value"))
