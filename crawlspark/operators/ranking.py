@@ -1,21 +1,22 @@
 """Ranks and top-n without a single-task window.
 
-A window without keys, or with one very hot key, sorts everything in one task. Here rows are
-first cut into buckets by sampled bounds on (keys, order). Each bucket is ranked on its own, and
-the number of earlier rows with the same key is added. The sample only balances the buckets; the
-rank is exact whatever the sample holds.
+A window without keys, or with one very hot key, sorts everything in one task. Here Spark deals the rows to
+ranges of (keys, order), each range is ranked on its own and written, and the number of earlier rows of the same key is added. A key
+reaches past a range only as its last key, so a row per range says it all: its first key, its last key and how many rows that has.
+The driver sees only Spark's own sample for the ranges, which is bounded; the ranks are exact whatever the ranges are.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from crawlspark.operators.lookup import lookup_join
+from crawlspark.session import work_dir
+
 ROWS_PER_BUCKET = 1_000_000
-SAMPLES_PER_BUCKET = 24
 SMALL_TOP = 10_000
 
 Order = Sequence[tuple[str, Column]]
@@ -33,46 +34,32 @@ def rank_rows(
 
     ``order`` holds (alias, ascending column) pairs that together break all ties (negate a number to
     sort it descending). Keys and order are strings, integers or doubles and never null. With ``limit``
-    only rows up to that position stay, and buckets beyond it are dropped before they are sorted.
+    only rows up to that position stay; ranges keep no more than that of a key. Many rows are written once to the shared
+    folder, in as many ranges as ``rows_per_bucket`` asks for.
     """
     keys = list(keys)
     typed = df.withColumns({f"_o_{alias}": column for alias, column in order})
     order_cols = [f"_o_{alias}" for alias, _ in order]
-    sort_cols = keys + order_cols
-    bounds = _bounds(typed.select(*sort_cols), rows_per_bucket)
-    by_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    if not bounds:
+    ranges = -(-typed.count() // rows_per_bucket)
+    if ranges <= 1:
+        by_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
         ranked = typed.withColumn(name, F.row_number().over(by_key.orderBy(*order_cols)).cast("bigint"))
-        if limit is not None:
-            ranked = ranked.where(F.col(name) <= limit)
-        return ranked.drop(*order_cols)
-
-    fields = {f.name: f.dataType.simpleString() for f in typed.select(*sort_cols).schema.fields}
-    literal = F.from_json(
-        F.lit(json.dumps([dict(zip(sort_cols, b)) for b in bounds])),
-        "array<struct<" + ",".join(f"`{c}`:{t}" for c, t in fields.items()) + ">>",
-    )
-    bucketed = typed.withColumn("_b", _bucket(F.struct(*sort_cols), literal, len(bounds)))
-
-    # a key reaches past a bucket only if it is the key of the bound above or below that bucket
-    spanning = bucketed
+        return _first(ranked, name, limit).drop(*order_cols)
+
+    dealt = typed.repartitionByRange(ranges, *keys, *order_cols)
     if keys:
-        own = F.struct(*keys)
-        above, below = F.get(literal, F.col("_b")), F.get(literal, F.col("_b") - 1)
-        meets = [F.struct(*[bound[c].alias(c) for c in keys]) == own for bound in (above, below)]
-        spanning = bucketed.where(F.coalesce(meets[0], F.lit(False)) | F.coalesce(meets[1], F.lit(False)))
-    counts = spanning.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = by_key.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    # at most one key per bucket continues from the bucket before: no more rows than buckets
-    offsets = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")).where("_off > 0")
-    placed = bucketed.join(F.broadcast(offsets), [*keys, "_b"], "left").withColumn("_off", F.coalesce("_off", F.lit(0)))
-    if limit is not None:
-        placed = placed.where(F.col("_off") < limit)
-    inside = Window.partitionBy("_b", *keys).orderBy(*order_cols)
-    ranked = placed.withColumn(name, (F.row_number().over(inside) + F.col("_off")).cast("bigint"))
-    if limit is not None:
-        ranked = ranked.where(F.col(name) <= limit)
-    return ranked.drop("_b", "_off", *order_cols)
+        inside = Window.partitionBy("_b", *keys).orderBy(*order_cols)
+        placed = dealt.withColumn("_b", F.spark_partition_id()).withColumn(name, F.row_number().over(inside).cast("bigint"))
+    else:
+        # ids that Spark gives along a sorted partition: its number, then 33 bits of the row's place
+        placed = dealt.sortWithinPartitions(*order_cols).withColumn("_id", F.monotonically_increasing_id())
+        place = F.col("_id").bitwiseAND((1 << 33) - 1) + 1
+        placed = placed.withColumns({"_b": F.shiftright("_id", 33).cast("int"), name: place}).drop("_id")
+    # written, because Spark may draw other ranges when it deals the rows again
+    placed = _written(_first(placed, name, limit).drop(*order_cols))
+    offsets = _offsets(placed, keys, name)
+    ranked = lookup_join(placed, offsets, [*keys, "_b"]).withColumn(name, F.col(name) + F.coalesce("_off", F.lit(0)))
+    return _first(ranked, name, limit).select(*df.columns, name)
 
 
 def top_rows(df: DataFrame, order: Order, n: int, name: str = "rank", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -88,29 +75,25 @@ def top_rows(df: DataFrame, order: Order, n: int, name: str = "rank", rows_per_b
     return rank_rows(df, [], order, name, limit=n, rows_per_bucket=rows_per_bucket)
 
 
-def _bounds(rows: DataFrame, rows_per_bucket: int) -> list[list]:
-    """Sorted, distinct bucket bounds; none when one bucket is enough."""
-    total = rows.count()
-    buckets = -(-total // rows_per_bucket)
-    if buckets <= 1:
-        return []
-    wanted = buckets * SAMPLES_PER_BUCKET
-    fraction = min(1.0, wanted / total)
-    sample = rows.sample(withReplacement=False, fraction=fraction, seed=17)
-    picked = sorted(list(r) for r in sample.collect())
-    step = max(1, len(picked) // buckets)
-    bounds: list[list] = []
-    for row in picked[step::step]:
-        if not bounds or row != bounds[-1]:
-            bounds.append(row)
-    return bounds[: buckets - 1]
-
-
-def _bucket(key: Column, bounds: Column, n: int) -> Column:
-    """Number of bounds at or below the key, by binary search."""
-    steps = [1 << s for s in reversed(range(n.bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda low, step: F.when(F.coalesce(F.get(bounds, low + step - 1) <= key, F.lit(False)), low + step).otherwise(low),
-    )
+def _first(ranked: DataFrame, name: str, limit: int | None) -> DataFrame:
+    return ranked if limit is None else ranked.where(F.col(name) <= limit)
+
+
+def _written(df: DataFrame) -> DataFrame:
+    path = work_dir(df.sparkSession, "ranks")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _offsets(placed: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """(keys, _b, _off): rows of a range's first key in earlier ranges, where there are any; at most a row per range.
+
+    Earlier ranges that hold this key have it as their last one. With a limit their counts end there, which suffices to rule later rows out.
+    """
+    by = keys or ["_k"]
+    fields = [F.col(k) for k in keys] or [F.lit(0).alias("_k")]
+    ends = placed.groupBy("_b").agg(F.min(F.struct(*fields)).alias("lo"), F.max(F.struct(*fields, F.col(name).alias("_n"))).alias("hi"))
+    starts = ends.select("_b", "lo.*", F.lit(0).cast("bigint").alias("_n"))
+    met = starts.unionByName(ends.select("_b", "hi.*")).groupBy(*by, "_b").agg(F.sum("_n").alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    return met.withColumn("_off", F.sum("_n").over(before)).where("_off > 0").select(*keys, "_b", "_off")
