@@ -5,7 +5,8 @@ passes them to its ancestors, less with each level; an ancestor's sum is discoun
 that is in links. The best container is kept, with those siblings that look like more of the same.
 
 Parts that are no article by their element, role or class (menus, page headers, footers, sidebars, notices, adverts, forms, comments,
-scripts, hidden parts) are left out before scoring, unless they hold the page's main element or heading, as wrappers do; lists and boxes that are
+scripts, hidden parts) are left out before scoring, unless they hold the page's main element or heading, as wrappers do (a form only if it holds all first headings; its
+labels, buttons and fields go); lists and boxes that are
 mostly links are left out of what is kept.
 
 Defined cases: a null, empty or markup-only page gives the empty text; unclosed quotes, elements, comments and scripts end
@@ -50,8 +51,10 @@ CLOSES = {
     "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"}),
 }
 NO_ARTICLE = set(
-    "head nav menu aside footer form button select dialog noscript template object canvas svg audio video fieldset datalist map applet".split()
+    "head nav menu aside footer form label legend button select dialog noscript template object canvas svg audio video fieldset datalist map applet".split()
 )
+#: those of them that older pages wrap around everything, the first heading included
+WRAPPERS = {"form", "fieldset"}
 NO_ROLES = set("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split())
 NO_WORDS = set(
     "ad ads adsense advert advertisement alert alerts announcement advertising adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer"
@@ -154,6 +157,9 @@ def main_text(html: str | None) -> str:
     page = Page(html)
     n, tag, parent, words = len(page.tag), page.tag, page.parent, page.words
 
+    headings = [int(t == "h1") for t in tag]
+    for i in range(n - 1, 0, -1):
+        headings[parent[i]] += headings[i]
     holds = [0] * n  # bits: 1 an article element is inside, 2 a main element, 4 a first heading
     for i in range(n - 1, 0, -1):
         own = 2 if tag[i] == "main" or "role:main" in words[i] else 1 if tag[i] == "article" else 4 if tag[i] == "h1" else 0
@@ -162,7 +168,9 @@ def main_text(html: str | None) -> str:
     for i in range(1, n):
         up = parent[i]
         in_article[i] = in_article[up] or tag[i] in ("article", "main")
-        out[i] = out[up] or page.hidden[i] or no_article(tag[i], words[i], holds[i], in_article[up])
+        # a form around all first headings is the page's own, one with a heading of its own is not
+        inside = holds[i] & 3 if tag[i] in WRAPPERS and headings[i] < headings[0] else holds[i]
+        out[i] = out[up] or page.hidden[i] or no_article(tag[i], words[i], inside, in_article[up])
 
     # paragraphs: runs of text within one block
     score, length, linked, links = [0.0] * n, [0] * n, [0] * n, [0] * n
@@ -262,6 +270,8 @@ def no_article(tag: str, words: set[str], holds: int, inside: bool) -> bool:
         return tag == "article" and bool(words & COMMENTS)
     if tag == "head":
         return True
+    if tag in WRAPPERS:
+        return not holds & 7
     if tag in NO_ARTICLE or (tag == "header" and not inside) or any("role:" + r in words for r in NO_ROLES):
         return not holds & 3
     if words & COMMENTS:

@@ -59,6 +59,16 @@ def test_parts_inside_the_article():
     assert main_text(page(f"<article>{paragraphs(4)}{links}</article>")) == PROSE
 
 
+def test_forms_around_the_page():
+    fields = "<label>Name</label><input><textarea>Words in a box.</textarea><select><option>One</select><button>Send</button>"
+    for form in ("form", "fieldset", "form><fieldset"):
+        ends = "".join(f"</{t}>" for t in reversed(form.split("><")))
+        whole = f"<{form}>{fields}<div><h1>Title here</h1>{paragraphs(4)}</div>{fields}{ends}"
+        assert main_text(page(whole)) == "Title here " + PROSE
+        # with a heading outside, the form's own heading does not make it the page
+        assert main_text(page(f"<div><h1>Title here</h1>{paragraphs(4)}<{form}><h1>Ask us</h1><p>Words, {WORDS}</p>{fields}{ends}</div>")) == "Title here " + PROSE
+
+
 def test_siblings_are_kept():
     body = f"<div><div><h1>Title</h1></div><div>{paragraphs(4)}</div><div>{paragraphs(4)}</div><p>More {WORDS} And {WORDS}</p></div>"
     assert main_text(page(body)) == f"Title {PROSE} {PROSE} More {WORDS} And {WORDS}"
