@@ -95,3 +95,21 @@ def test_parity_bits_never_exceed_the_difference():
         two = changed(rng, one, rng.randint(0, len(one))) + prose(rng, rng.randint(0, 200))
         x, y = (shingles.shingle_set(" ".join(w), words) for w in (one, two))
         assert shingles.least_difference(shingles.parity(x), shingles.parity(y)) <= len(set(x.tolist()) ^ set(y.tolist()))
+
+
+def test_fingerprints_alone_find_links(spark, monkeypatch):
+    """Links of the named method: fingerprints linked by the trees, then held to the sets; here nothing else finds any."""
+    members = shingles.members
+    monkeypatch.setattr(shingles, "members", lambda docs: members(docs).where("false"))
+    rng = random.Random(12)
+    texts = []
+    for _ in range(40):
+        words = prose(rng, 400)
+        texts += [" ".join(words), " ".join(changed(rng, words, 1))]
+    words = prose(rng, 30, 3)
+    texts += [" ".join(words), " ".join(words[1:] + words[:1])]  # equal or close fingerprints alone are no link
+    near = {i for i in range(0, len(texts), 2) if (simhash.fingerprint(texts[i]) ^ simhash.fingerprint(texts[i + 1])).bit_count() <= 4}
+    want = {i + 1 for i in near if similar(plain_set(texts[i]), plain_set(texts[i + 1]))}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.deduplicated(spark, docs, "").collect()}
+    assert len(want) > 5 and kept == set(range(len(texts))) - want
