@@ -13,10 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlspark.operators.lookup import lookup_join
+from crawlspark.operators.lookup import lookup_join, weight
 from crawlspark.session import work_dir
 
-ROWS_PER_BUCKET = 1_000_000
+#: rows, and bytes by what they hold, of a range
+ROWS_PER_BUCKET, BYTES_PER_BUCKET = 1_000_000, 64 << 20
 SMALL_TOP = 10_000
 
 Order = Sequence[tuple[str, Column]]
@@ -35,12 +36,13 @@ def rank_rows(
     ``order`` holds (alias, ascending column) pairs that together break all ties (negate a number to
     sort it descending). Keys and order are strings, integers or doubles and never null. With ``limit``
     only rows up to that position stay; ranges keep no more than that of a key. Many rows are written once to the shared
-    folder, in as many ranges as ``rows_per_bucket`` asks for.
+    folder, in as many ranges as ``rows_per_bucket`` and BYTES_PER_BUCKET ask for, so a range's task reads no more as the table or its texts grow.
     """
     keys = list(keys)
     typed = df.withColumns({f"_o_{alias}": column for alias, column in order})
     order_cols = [f"_o_{alias}" for alias, _ in order]
-    ranges = -(-typed.count() // rows_per_bucket)
+    rows, size = df.agg(*weight(df)).first()
+    ranges = max(-(-rows // rows_per_bucket), -(-size // BYTES_PER_BUCKET))
     if ranges <= 1:
         by_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
         ranked = typed.withColumn(name, F.row_number().over(by_key.orderBy(*order_cols)).cast("bigint"))

@@ -466,3 +466,16 @@ def test_streamed_log_equals_batch(spark, tmp_path, compact_every):
         want = apply_log(want, spark.createDataFrame(rows, schema))
     assert [tuple(r) for r in got] == [tuple(r) for r in want.orderBy("page_id").collect()]
     assert got[1].status == "FETCHED" and got[0].fetch_count == 2
+
+
+def test_ranges_follow_bytes(spark, monkeypatch):
+    """Few rows with long texts are dealt to as many ranges as their bytes ask for."""
+    monkeypatch.setattr(G, "BYTES_PER_BUCKET", 200_000, raising=False)
+    written = []
+    monkeypatch.setattr(G, "_written", lambda d, plain=G._written: written.append(plain(d)) or written[-1])
+    texts = [(f"d{i % 7}", "f", i, "x" * 50_000 + str(i)) for i in range(60)] + [("d0", "g", 0, None)]
+    fields = spark.createDataFrame(texts, "id string, field string, rnk int, value string").repartition(3)
+    got = {(r.id, r.field, r.pos, r.value) for r in D.add_values(fields).collect()}
+    want = {(i, f, n // 7 if f == "f" else 0, v) for i, f, n, v in texts}
+    assert got == want
+    assert written and written[0].select("_b").distinct().count() >= 8
