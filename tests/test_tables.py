@@ -479,3 +479,15 @@ def test_ranges_follow_bytes(spark, monkeypatch):
     want = {(i, f, n // 7 if f == "f" else 0, v) for i, f, n, v in texts}
     assert got == want
     assert written and written[0].select("_b").distinct().count() >= 8
+
+
+def test_multimap_ranges_follow_bytes(spark, monkeypatch):
+    monkeypatch.setattr(G, "BYTES_PER_BUCKET", 100_000, raising=False)
+    written = []
+    monkeypatch.setattr(G, "_written", lambda d, plain=G._written: written.append(plain(d)) or written[-1])
+    texts = [("d", "f", i, None if i % 10 == 3 else "y" * 20_000 + str(i)) for i in range(50)]  # one key, its nulls dropped
+    got = D.doc_multimap(spark.createDataFrame(texts, "id string, field string, rnk int, value string").repartition(3))
+    kept = [v for *_, v in texts if v is not None]
+    assert sorted((r.pos, r.value) for r in got.collect()) == list(enumerate(kept))
+    sizes = [r["count"] for r in written[0].groupBy("_b").count().collect()]
+    assert len(sizes) >= 5 and max(sizes) < 25
