@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlspark.llm.common import rows_of, saved, table
+from crawlspark.llm.common import passing, rows_of, saved, table
 from crawlspark.llm.components import components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -211,10 +211,11 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def least_ids(rows: DataFrame, links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``rows`` (fp, doc_id and others) with root and component_id, by the links among distinct fp."""
-    distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    linked = components(saved(links_of(distinct), "simhash-links"))
-    rooted = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = saved(rooted.withColumn("root", F.coalesce("root", "fp")), "simhash-rooted")
+    with passing():
+        distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+        linked = components(saved(links_of(distinct), "simhash-links"))
+        rooted = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+        rooted = saved(rooted.withColumn("root", F.coalesce("root", "fp")), "simhash-rooted", lasting=True)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.join(rooted.drop("first").join(least, "root"), "fp")
 
@@ -227,9 +228,10 @@ def deduplicate(docs: DataFrame, classes_of: Callable[[DataFrame], DataFrame] =
     mark = F.struct(F.xxhash64("text"), F.coalesce(F.length("text"), F.lit(-1)))
     narrow = docs.select("doc_id", mark.alias("_mark"), "text")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_mark")
-    same = classes_of(narrow).groupBy("root", "doc_id", "_mark").agg(F.count("*").alias("_n"))
-    kept = same.groupBy("root").agg(F.min_by(F.struct("doc_id", "_mark", "_n"), order).alias("k"))
-    kept = saved(kept.select(F.col("k.doc_id").alias("_id"), F.col("k._mark").alias("_m"), "k._n"), "simhash-kept")
+    with passing():
+        same = classes_of(narrow).groupBy("root", "doc_id", "_mark").agg(F.count("*").alias("_n"))
+        kept = same.groupBy("root").agg(F.min_by(F.struct("doc_id", "_mark", "_n"), order).alias("k"))
+        kept = saved(kept.select(F.col("k.doc_id").alias("_id"), F.col("k._mark").alias("_m"), "k._n"), "simhash-kept", lasting=True)
     # a row travels as one column, so that its names meet none of ours
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", mark.alias("_mark"))
     found = marked.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_m")))

@@ -113,3 +113,24 @@ def test_fingerprints_alone_find_links(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     kept = {r["doc_id"] for r in corpus_pipeline.deduplicated(spark, docs, "").collect()}
     assert len(want) > 5 and kept == set(range(len(texts))) - want
+
+
+def test_work_folders_go_when_they_are_read(spark):
+    """Of a deduplication only its kept keys stay, of a strip only its spans; op9's rows, which its result still reads, stay."""
+    from pathlib import Path
+
+    from crawlspark.llm import repeats
+    from crawlspark.session import work_dir
+
+    base = Path(work_dir(spark, "x")).parent
+    docs = spark.createDataFrame([(i, " ".join(f"w{i % 3}x{j}" for j in range(80))) for i in range(9)], "doc_id long, text string")
+    left = lambda before: sorted(p.name.rsplit("-", 1)[0] for p in base.iterdir() if p.name not in before)
+    before = {p.name for p in base.iterdir()} if base.exists() else set()
+    assert simhash.deduplicate(docs, shingles.classes).count() == 3
+    assert left(before) == ["simhash-kept"]
+    before = {p.name for p in base.iterdir()}
+    assert repeats.strip(docs).where("text <> ''").count() == 0
+    assert left(before) == ["repeats-spans"]
+    before = {p.name for p in base.iterdir()}
+    assert simhash.classes(docs).select("root").distinct().count() >= 1
+    assert left(before) == ["simhash-rooted", "simhash-rows"]
